@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -23,3 +27,20 @@ def build_session(app: str = "loomtext", cpus: int | str = "*", partitions: int
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the input tables, by name."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, as a cluster need not have it installed. Done once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="loomtext-")) / "loomtext_package.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
