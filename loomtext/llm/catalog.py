@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomtext.session import table
+from loomtext.session import ship, table
 
 SHARDS = 40
 
@@ -27,8 +27,17 @@ def op2_decontamination(spark, sf_dir):
     )
 
 
+def op6_jaccard_join(spark, sf_dir):
+    """Documents linked at 90 % of their three-word shingles, by component."""
+    from loomtext.llm.jaccard import near_duplicates
+
+    ship(spark)
+    found = near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=90)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component_doc").alias("component_id"))
+
+
 def queries():
-    return {"op2_decontamination": op2_decontamination, "op10_sharding": op10_sharding}
+    return {"op2_decontamination": op2_decontamination, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
