@@ -27,6 +27,15 @@ def op2_decontamination(spark, sf_dir):
     )
 
 
+def op5_pii(spark, sf_dir):
+    """Personal data in all documents."""
+    from loomtext.llm.pii import KINDS, count_of, personal_data, span_text
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    counts = [count_of("base", k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
 def op6_jaccard_join(spark, sf_dir):
     """Documents linked at 90 % of their three-word shingles, by component."""
     from loomtext.llm.jaccard import near_duplicates
@@ -37,7 +46,7 @@ def op6_jaccard_join(spark, sf_dir):
 
 
 def queries():
-    return {"op2_decontamination": op2_decontamination, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
+    return {"op2_decontamination": op2_decontamination, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
