@@ -17,6 +17,14 @@ def op10_sharding(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    """Bytes of each document inside 400-byte strings that also start elsewhere."""
+    from loomtext.llm.repeats import drop_repeats
+
+    ship(spark)
+    return drop_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_decontamination(spark, sf_dir):
     """Words of each document inside ten-word windows of benchmark items."""
     from loomtext.llm.decontaminate import contamination
@@ -46,7 +54,7 @@ def op6_jaccard_join(spark, sf_dir):
 
 
 def queries():
-    return {"op2_decontamination": op2_decontamination, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
+    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
