@@ -35,6 +35,17 @@ def op2_decontamination(spark, sf_dir):
     )
 
 
+def op4_quality(spark, sf_dir):
+    """Quality scores of all documents by positive-unlabelled learning."""
+    from loomtext.llm.quality import THRESHOLD, held_out, learn_quality, score_quality
+
+    ship(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn_quality(docs, table(spark, sf_dir, "labels"))
+    scored = score_quality(docs, model)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_pii(spark, sf_dir):
     """Personal data in all documents."""
     from loomtext.llm.pii import KINDS, count_of, personal_data, span_text
@@ -54,7 +65,7 @@ def op6_jaccard_join(spark, sf_dir):
 
 
 def queries():
-    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
+    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
