@@ -64,8 +64,16 @@ def op6_jaccard_join(spark, sf_dir):
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component_doc").alias("component_id"))
 
 
+def op9_nearest(spark, sf_dir):
+    """The 20 nearest vectors of every 20th vector, by inner product."""
+    from loomtext.llm.neighbours import nearest
+
+    ship(spark)
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def queries():
-    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op10_sharding": op10_sharding}
+    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
