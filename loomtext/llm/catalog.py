@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from loomtext.session import ship, table
 
 SHARDS = 40
+#: Appended to each document's ids.
+END_ID = 2
 
 
 def op10_sharding(spark, sf_dir):
@@ -64,6 +66,17 @@ def op6_jaccard_join(spark, sf_dir):
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component_doc").alias("component_id"))
 
 
+def op8_token_files(spark, sf_dir):
+    """All documents as token ids in wavelet-matrix shards, read back."""
+    import public_tokenizers
+
+    from loomtext.llm.tokenfiles import read_token_files, write_token_files
+
+    ship(spark)
+    path = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return read_token_files(spark, path)
+
+
 def op9_nearest(spark, sf_dir):
     """The 20 nearest vectors of every 20th vector, by inner product."""
     from loomtext.llm.neighbours import nearest
@@ -73,7 +86,7 @@ def op9_nearest(spark, sf_dir):
 
 
 def queries():
-    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
+    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op8_token_files": op8_token_files, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
