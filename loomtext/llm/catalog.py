@@ -37,6 +37,16 @@ def op2_decontamination(spark, sf_dir):
     )
 
 
+def op3_sentencepiece(spark, sf_dir):
+    """All documents encoded to piece ids by unigram Viterbi, and decoded again."""
+    import public_tokenizers
+
+    from loomtext.llm.unigram import encoded_digests
+
+    ship(spark)
+    return encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_quality(spark, sf_dir):
     """Quality scores of all documents by positive-unlabelled learning."""
     from loomtext.llm.quality import THRESHOLD, held_out, learn_quality, score_quality
@@ -86,7 +96,7 @@ def op9_nearest(spark, sf_dir):
 
 
 def queries():
-    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op8_token_files": op8_token_files, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
+    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op8_token_files": op8_token_files, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.bytewise import chunks, prefix_hash, span_hash, table_of
+from loomtext.llm.bytewise import chunks, table_of
+from loomtext.llm.memo import Memo
 from loomtext.llm.staging import shared_folder
 from loomtext.llm.wavelet import WaveletMatrix, pack
 
@@ -42,19 +43,13 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = max(1, int(self.tokenizer.get_vocab_size() - 1).bit_length())
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
+        self.memo = Memo(self._pieces, PIECES)
 
-    def forget(self) -> None:
-        self.keys, self.start, self.count = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+    def _pieces(self, blob: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pieces = [blob[a:b].decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
         lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         count = np.fromiter(map(len, lists), np.int64, len(lists))
-        start = len(self.ids) + np.concatenate(([0], np.cumsum(count)[:-1]))
-        self.ids = np.concatenate((self.ids, np.fromiter((i for x in lists for i in x), np.uint32, int(count.sum()))))
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.start, self.count = np.insert(self.keys, at, keys), np.insert(self.start, at, start), np.insert(self.count, at, count)
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(count.sum())), count
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, count of each text) of the texts in a buffer."""
@@ -72,23 +67,8 @@ class PieceEncoder:
         begins[-1] = False
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(raw))
-        hashes = span_hash(prefix_hash(raw), start, end)
-        keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > PIECES:
-            self.forget()
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        fresh = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
-        if fresh.any():
-            spans = zip(start[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)
-            self._learn(keys[fresh], [blob[a:b].decode() for a, b in spans])
-            at = np.searchsorted(self.keys, keys)
-        at = at[which]
-        count = self.count[at]
-        stops = np.cumsum(count)
-        take = np.arange(int(stops[-1])) + np.repeat(self.start[at] - (stops - count), count)
-        per_text = np.bincount(np.searchsorted(offsets, start, "right") - 1, count, n).astype(np.int64)
-        return self.ids[take], per_text
+        ids, count = self.memo.lookup(raw, start, end)
+        return ids, np.bincount(np.searchsorted(offsets, start, "right") - 1, count, n).astype(np.int64)
 
 
 def _encoder(path: str) -> PieceEncoder:
