@@ -30,10 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str):
 
 
 _SHIPPED: set[str] = set()
+#: Rows and bytes of one Arrow batch to a Python worker, at most: texts can be long.
+BATCH_ROWS, BATCH_BYTES = "4000", "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, as a cluster need not have it installed. Done once for each application."""
+    """Give executors this package, as a cluster need not have it installed, and bound the batches sent to Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
