@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.bytewise import chunks, mix, prefix_hash, span_hash
+from loomtext.llm.bytewise import buffer_of, chunks, mix, prefix_hash, span_hash
 from loomtext.llm.staging import staged
 from loomtext.llm.suffixes import common_prefixes, suffix_array
 
@@ -117,10 +117,8 @@ def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
         owner = np.repeat(np.arange(len(rows)), size + 1)
         #: a suffix is a string of full length if its context has so many bytes left
         whole = begin[owner + 1] - 1 - np.arange(len(text)) >= length
-        usable = whole[order]
-        equal = np.zeros(len(order) + 1, bool)
-        near = np.flatnonzero(usable[1:] & usable[:-1]) + 1
-        equal[near] = common_prefixes(text, order, length)[near] >= length
+        order = order[whole[order]]
+        equal = np.append(common_prefixes(text, order, length) >= length, False)
         repeated = np.zeros(len(text), bool)
         repeated[order[equal[:-1] | equal[1:]]] = True
         copies = np.array([r[3] for r in rows])
@@ -206,18 +204,17 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     def cut(batches):
         for batch in batches:
-            out = []
-            for raw, cuts in zip(batch.column("bytes"), batch.column("cuts"), strict=True):
-                raw = raw.as_buffer()
-                out += [(c["anchor"], c["context"], raw[c["lo"] : c["hi"] + length].to_pybytes(), c["copies"], c["kinds"]) for c in cuts.as_py()]
-                if len(out) > 4096:
-                    yield pack(out)
-                    out = []
-            yield pack(out)
-
-    def pack(out):
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-        return pa.record_batch([pa.array([r[k] for r in out], kinds[k]) for k in range(5)], names=["anchor", "context", "bytes", "copies", "kinds"])
+            raw, offsets = buffer_of(batch.column("bytes"))
+            cuts = batch.column("cuts")
+            owner = np.repeat(np.arange(len(cuts)), cuts.value_lengths().to_numpy(zero_copy_only=False))
+            of = dict(zip((f.name for f in cuts.type.value_type), cuts.flatten().flatten(), strict=True))
+            lo = offsets[owner] + of["lo"].to_numpy(zero_copy_only=False)
+            hi = offsets[owner] + of["hi"].to_numpy(zero_copy_only=False) + length
+            view = memoryview(raw)
+            for k in range(0, len(owner), 8192):
+                part = slice(k, k + 8192)
+                pieces = pa.array([bytes(view[a:b]) for a, b in zip(lo[part].tolist(), hi[part].tolist(), strict=True)], pa.binary())
+                yield pa.record_batch([of["anchor"][part], of["context"][part], pieces, of["copies"][part], of["kinds"][part]], names=["anchor", "context", "bytes", "copies", "kinds"])
 
     pieces = staged(one_each.select("bytes", "cuts").mapInArrow(cut, "anchor long, context long, bytes binary, copies long, kinds long"), "pieces")
     found = _by_suffixes(pieces.where(F.col("kinds") <= BLOCK_CONTEXTS), length)

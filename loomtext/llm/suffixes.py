@@ -14,11 +14,12 @@ import numpy as np
 from loomtext.llm.bytewise import prefix_hash, span_hash
 
 _WORD = 8
+_ROUNDS = 4
 
 
 def _words(text: np.ndarray) -> np.ndarray:
     """The eight bytes at every position as a big-endian number."""
-    return np.ndarray((len(text) - _WORD + 1,), ">u8", text.data, 0, (1,))
+    return np.ndarray((len(text) - _WORD + 1,), ">u8", text.data, 0, (1,)).astype(np.uint64)
 
 
 def is_smaller(text: np.ndarray) -> np.ndarray:
@@ -33,43 +34,46 @@ def is_smaller(text: np.ndarray) -> np.ndarray:
     return step[following] > 0
 
 
-def _sort_directly(which: np.ndarray, words: np.ndarray, prints: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ``which`` by their first ``depth`` bytes, eight at a time; only what is still tied is sorted again.
+def _sort_directly(which: np.ndarray, text: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
+    """Positions ``which`` by their first ``depth`` bytes: a few rounds of eight bytes, each on what is still tied.
 
-    Ties with one fingerprint of all ``depth`` bytes are equal and stay as they are.
+    What is tied after these shares a long prefix; fingerprints of ``depth`` bytes show which of it is equal, and the
+    rest is sorted as byte strings.
     """
-    order = which[np.argsort(words[which], kind="stable")]
+    order = which[np.argsort(words[which])]
     keys = words[order]
-    bounds = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    at = np.arange(len(order))
-    group = np.repeat(np.arange(len(bounds)), np.diff(np.append(bounds, len(order))))
-    for offset in range(_WORD, depth, _WORD):
-        first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        size = np.diff(np.append(first, len(group)))
-        same = prints[order[at]]
-        open_ = np.minimum.reduceat(same, first) != np.maximum.reduceat(same, first)
-        keep = np.repeat((size > 1) & open_, size)
+    new = np.concatenate(([True], keys[1:] != keys[:-1]))
+    at, group = np.arange(len(order)), np.cumsum(new) - 1
+    for offset in range(_WORD, _WORD * _ROUNDS, _WORD):
+        size = np.bincount(group)
+        keep = (size > 1)[group]
         at, group = at[keep], group[keep]
         if not len(at):
-            break
+            return order
         key = words[order[at] + offset]
         by = np.lexsort((key, group))
         order[at] = order[at][by]
         key = key[by]
         group = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]) | (key[1:] != key[:-1]))))
+    keep = (np.bincount(group) > 1)[group]
+    at, group = at[keep], group[keep]
+    if not len(at):
+        return order
+    place = order[at]
+    prints = span_hash(prefix_hash(text), place, place + depth)
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    mixed = np.minimum.reduceat(prints, first) != np.maximum.reduceat(prints, first)
+    raw = text.tobytes()
+    for lo, hi in zip(first[mixed], np.append(first[1:], len(at))[mixed], strict=True):
+        order[at[lo:hi]] = sorted(place[lo:hi].tolist(), key=lambda p: raw[p : p + depth])
     return order
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` in the order of their suffixes. Its last byte must be 0, an end mark."""
-    n = len(text)
     padded = np.concatenate((text, np.zeros(depth + _WORD, np.uint8)))
-    words = _words(padded)
-    sums = prefix_hash(padded)
-    place = np.arange(n)
-    prints = span_hash(sums, place, place + depth)
     smaller = is_smaller(text)
-    direct = _sort_directly(np.flatnonzero(smaller), words, prints, depth)
+    direct = _sort_directly(np.flatnonzero(smaller), padded, _words(padded), depth)
     starts = np.searchsorted(text[direct], np.arange(257))
     handed: list[list[np.ndarray]] = [[] for _ in range(256)]
     out = []
@@ -98,7 +102,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """For each place of the suffix array, how many bytes its suffix shares with the one before it, ``depth`` at most."""
+    """For each of the suffixes in ``order``, how many bytes it shares with the one before it, ``depth`` at most."""
     padded = np.concatenate((text, np.zeros(depth + _WORD, np.uint8)))
     words = _words(padded)
     out = np.zeros(len(order), np.int64)
