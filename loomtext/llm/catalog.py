@@ -76,6 +76,14 @@ def op6_jaccard_join(spark, sf_dir):
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component_doc").alias("component_id"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    """What is left of each document without later repeats of runs of lines."""
+    from loomtext.llm.linededup import drop_repeated_lines
+
+    left = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_token_files(spark, sf_dir):
     """All documents as token ids in wavelet-matrix shards, read back."""
     import public_tokenizers
@@ -96,7 +104,7 @@ def op9_nearest(spark, sf_dir):
 
 
 def queries():
-    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op8_token_files": op8_token_files, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
+    return {"op1_suffix_dedup": op1_suffix_dedup, "op2_decontamination": op2_decontamination, "op3_sentencepiece": op3_sentencepiece, "op4_quality": op4_quality, "op5_pii": op5_pii, "op6_jaccard_join": op6_jaccard_join, "op7_line_dedup": op7_line_dedup, "op8_token_files": op8_token_files, "op9_nearest": op9_nearest, "op10_sharding": op10_sharding}
 
 
 LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -119,5 +127,24 @@ FROM d LEFT JOIN word USING (r) LEFT JOIN it USING (r)
 """
 
 
+OP7_SQL = """
+WITH l AS (SELECT doc_id, pos, line, len(list_filter(string_split(line, ' '), lambda x: x <> '')) AS w
+           FROM (SELECT doc_id, generate_subscripts(p, 1) AS pos, unnest(p) AS line
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents))),
+     s AS (SELECT *, CAST(sum(w) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) AS upto FROM l WHERE w > 0),
+     f AS (SELECT 0 AS kind, doc_id, min(pos) OVER z AS lo, max(pos) OVER z AS hi, sum(w) OVER z AS total, list(line) OVER z AS run FROM s
+           WINDOW z AS (PARTITION BY doc_id ORDER BY upto - w RANGE BETWEEN CURRENT ROW AND 29 FOLLOWING)
+           UNION ALL
+           SELECT 1, doc_id, min(pos) OVER z, max(pos) OVER z, sum(w) OVER z, list(line) OVER z FROM s
+           WINDOW z AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)),
+     k AS (SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY kind, run ORDER BY doc_id, lo) AS nth FROM f WHERE total >= 30),
+     g AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS pos FROM k WHERE nth > 1),
+     t AS (SELECT l.doc_id, l.pos, l.line, l.w, g.pos IS NOT NULL AND l.w > 0 AS seen, g.pos IS NOT NULL AS gone FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.pos = l.pos)
+SELECT doc_id, CAST(count(*) FILTER (w > 0) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM t GROUP BY doc_id
+"""
+
+
 def oracle_sql():
-    return {"op2_decontamination": OP2_SQL}
+    return {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
