@@ -27,7 +27,7 @@ from loomtext.llm.wavelet import WaveletMatrix, pack
 
 SHARD_TOKENS = 1 << 20
 #: Pieces that a worker remembers, about 40 bytes each; a full memory is emptied.
-PIECES = 1_000_000
+PIECES = 3_000_000
 #: Bytes that begin no white space of any kind: visible ASCII and lead bytes but those of Unicode's white space.
 _PLAIN = table_of(bytes(range(0x21, 0x7F)) + bytes(b for b in range(0xC3, 0xF5) if b not in (0xE1, 0xE2, 0xE3)))
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -42,14 +42,26 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = max(1, int(self.tokenizer.get_vocab_size() - 1).bit_length())
+        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.bytes[number] = len(token)
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo = Memo(self._pieces, PIECES)
 
     def _pieces(self, blob: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        pieces = [blob[a:b].decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        count = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((i for x in lists for i in x), np.uint32, int(count.sum())), count
+        """Ids of pieces. Those that begin with a space may follow each other in one text, which parts just there."""
+        count = np.zeros(len(start), np.int64)
+        spans = [blob[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        joins = np.fromiter((s[0] == 32 for s in spans), bool, len(spans))
+        alone, joined = np.flatnonzero(~joins), np.flatnonzero(joins)
+        texts = [b"".join(spans[k] for k in joined.tolist()).decode(), *[spans[k].decode() for k in alone.tolist()]]
+        lists = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        #: an id stands for as many bytes as its token has characters, so byte counts show where the pieces end
+        stops = np.searchsorted(np.cumsum(self.bytes[lists[0]]), np.cumsum((end - start)[joined]), "left") + 1
+        count[joined] = np.diff(stops, prepend=0)
+        count[alone] = [len(x) for x in lists[1:]]
+        order = np.repeat(np.concatenate((joined, alone)), count[np.concatenate((joined, alone))])
+        return np.concatenate(lists)[np.argsort(order, kind="stable")], count
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, count of each text) of the texts in a buffer."""
