@@ -1,23 +1,490 @@
-"""Registry of queries over the driver tables and of their oracle SQL."""
+"""Registry: the operators as queries over the driver tables, and the SQL that must give the same rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomtext.functions import text as tx
+from loomtext.functions.language import from_column, heuristic
+from loomtext.operators import filters, html, merge, segment, setops, stats
+from loomtext.plans.gates import GateConfig, measures, run_gates
 from loomtext.session import table
 
+Q: dict = {}
+SQL: dict[str, str] = {}
 
+
+def query(sql: str | None = None):
+    """Registers a function (spark, sf_dir) under its name, with its oracle where there is one."""
+
+    def add(f):
+        Q[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict:
+    return dict(Q)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
+
+
+#: SQL forms of the text helpers; the tables hold no white space but spaces and newlines.
+STRIP = r"regexp_replace({0}, '^[\s]+|[\s]+$', '', 'g')"
+KEY = STRIP.format("lower(coalesce(text, ''))")
+TOKENS = r"len(regexp_extract_all(coalesce({0}, ''), '[^\s]+'))"
+TEXTS = r"[x for x in [regexp_replace(y, '^[\s]+|[\s]+$', '', 'g') for y in {0}] if x <> '']"
+SENTENCES = TEXTS.format(r"string_split(regexp_replace(coalesce(text, ''), '([.!?…])\s+', '\1' || chr(10), 'g'), chr(10))")
+ARTICLE = rf"[x for x in string_split(regexp_replace({STRIP.format(chr(114) + 'egexp_replace(coalesce(text, ' + chr(39) * 2 + '), ' + chr(39) + chr(92) + 's+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}, '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) if len(string_split(x, ' ')) >= 3]"
+
+
+def corpus(spark, sf_dir):
+    """documents as a corpus: text, sources, and doc_id as order."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text", F.array("source").alias("sources"), "source", "lang", F.col("doc_id").alias("ord"))
+
+
+def benchmark(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select("text", F.array(F.lit("benchmark")).alias("sources"), F.col("item_id").alias("ord"))
+
+
+def flat(df):
+    """Array columns of strings joined by a bar, so that both engines hash the same scalar."""
+    return df.select(*[F.array_join(c, "|").alias(c) if t == "array<string>" else F.col(c) for c, t in df.dtypes])
+
+
+# --- merging and dedup -------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT arg_min(text, doc_id) AS text, array_to_string(list_sort(list_distinct(list(source))), '|') AS sources FROM documents GROUP BY {KEY}")
 def provenance_merge(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    key = F.lower(F.col("text"))
-    return docs.groupBy(key.alias("key")).agg(
-        F.min_by("text", "doc_id").alias("text"), F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources")
-    )
+    return flat(merge.provenance_merge(corpus(spark, sf_dir), F.col("ord")))
+
+
+@query(f"""
+WITH u AS (SELECT text, source, doc_id AS o FROM documents UNION ALL SELECT text, 'benchmark', 1000000000000 + item_id FROM benchmark)
+SELECT arg_min(text, o) AS text, array_to_string(list_sort(list_distinct(list(source))), '|') AS sources FROM u WHERE {KEY} <> '' GROUP BY {KEY}""")
+def corpus_union_merge(spark, sf_dir):
+    return flat(merge.corpus_union_merge([corpus(spark, sf_dir).select("text", "sources", "ord"), benchmark(spark, sf_dir)]))
+
+
+@query(f"""
+WITH u AS (SELECT 0 AS r, doc_id AS o, text, source AS s FROM documents UNION ALL SELECT 1, item_id, text, 'benchmark' FROM benchmark)
+SELECT text, s AS sources FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY r, o) AS n FROM u) WHERE n = 1""")
+def append_merge_first_wins(spark, sf_dir):
+    return flat(merge.append_merge([corpus(spark, sf_dir).select("text", "sources", "ord"), benchmark(spark, sf_dir)]).select("text", "sources"))
+
+
+@query("SELECT text, source AS sources FROM documents UNION ALL SELECT text, 'benchmark' FROM benchmark")
+def bag_union(spark, sf_dir):
+    return flat(merge.bag_union([corpus(spark, sf_dir).select("text", "sources"), benchmark(spark, sf_dir).select("text", "sources")]))
+
+
+@query("""
+WITH e AS (SELECT doc_id, quality, toxic FROM labels WHERE doc_id % 3 <> 0),
+     n AS (SELECT doc_id, CAST(9 AS INTEGER) AS quality, CAST(9 AS INTEGER) AS toxic FROM documents WHERE doc_id % 2 = 0)
+SELECT * FROM e UNION ALL SELECT * FROM n WHERE doc_id NOT IN (SELECT doc_id FROM e)""")
+def keyed_append_merge(spark, sf_dir):
+    old = table(spark, sf_dir, "labels").where("doc_id % 3 <> 0").select("doc_id", "quality", "toxic", F.lit(0).alias("o"))
+    new = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"), F.lit(0).alias("o"))
+    return merge.keyed_append(old, new, "doc_id", "o").drop("o")
+
+
+@query("""
+SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, coalesce(l.quality, -1) AS quality
+FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0) d FULL JOIN labels l ON l.doc_id = d.doc_id""")
+def keyed_enrich_merge(spark, sf_dir):
+    base = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", "lang", F.lit(-1).alias("quality"), F.lit(0).alias("o"))
+    extra = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(0).alias("o"))
+    return merge.keyed_enrich(base, extra, "doc_id", "o", ["quality"]).select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"))
+
+
+# --- extraction and filters --------------------------------------------------------------------------------------------
+
+_MARKED = rf"""
+WITH c AS (SELECT doc_id, source, lang, {STRIP.format("text")} AS text FROM documents),
+     e AS (SELECT *, CASE WHEN {TOKENS.format("text")} < 20 THEN 'short' WHEN source <> 'src0' AND lang <> 'en' THEN 'lang' END AS early FROM c),
+     m AS (SELECT doc_id, source, text, coalesce(early, CASE WHEN row_number() OVER (PARTITION BY source, early, lower(text) ORDER BY doc_id) = 1 THEN 'kept' ELSE 'dup' END) AS reason FROM e)
+"""
+
+
+def _ingested(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    seen = from_column(F.col("lang"))
+    return filters.ingest_reasons(rows, seen["label"], seen["conf"], "en", F.col("doc_id"), min_tokens=20, check_language=F.col("source") != "src0")
+
+
+@query(_MARKED + "SELECT source, reason, count(*) AS n_rows FROM m GROUP BY ALL")
+def ingest_cascade_counts(spark, sf_dir):
+    return filters.reason_counts(_ingested(spark, sf_dir), "source")
+
+
+@query(_MARKED + "SELECT doc_id, source, text FROM m WHERE reason = 'kept'")
+def ingest_kept(spark, sf_dir):
+    return _ingested(spark, sf_dir).where("reason = 'kept'").select("doc_id", "source", "text")
+
+
+@query(rf"""
+SELECT conv_id, {STRIP.format("text")} AS text FROM conversations WHERE {STRIP.format("coalesce(text, '')")} <> ''""")
+def sharegpt_extract(spark, sf_dir):
+    cells = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("value")))).alias("turns"))
+    return cells.select("conv_id", F.explode(filters.turn_texts(F.col("turns"))).alias("text"))
+
+
+@query(rf"""
+SELECT page_id, part, text FROM (SELECT page_id, 0 AS part, {STRIP.format("url")} AS text FROM pages UNION ALL SELECT page_id, 1, {STRIP.format("html")} FROM pages) WHERE text <> ''""")
+def column_unpivot(spark, sf_dir):
+    return filters.unpivot_texts(table(spark, sf_dir, "pages"), ["page_id"], ["url", "html"])
+
+
+_CHARS = "ëñóàéèɛɔŋ"
+_WORDS = "['la','na','ci','mu','du','di','ko','nga','naa','ak','gi','yi','bi','wi','mi','si','ki','mooy','doon','ñu','ñuy','muy','duy','sama','sa','man','yow','ñoom','jëf','wax','def','dem','jóg','réew','nit','boppam','mbir','yàlla','allaaxiraa']"
+_HEURISTIC = rf"""
+h AS (SELECT *, length(text) - length(translate(text, '{_CHARS}', '')) AS nc, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS ws FROM t),
+g AS (SELECT *, len([w for w in ws if list_contains({_WORDS}, w)]) AS nw, CASE WHEN len(ws) > 0 THEN len([w for w in ws if list_contains({_WORDS}, w)]) / len(ws) ELSE 0.0 END AS ratio FROM h)
+"""
+
+
+@query(f"WITH t AS (SELECT doc_id, text FROM documents), {_HEURISTIC} SELECT doc_id, CAST(nc AS BIGINT) AS char_count, CAST(nw AS BIGINT) AS word_count, nc > 0 OR ratio >= 0.1 AS is_target, round(least(1.0, (CASE WHEN nc > 0 THEN 0.4 ELSE 0.0 END) + ratio * 0.6), 6) AS confidence FROM g")
+def language_heuristic(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", heuristic(F.col("text")).alias("h"))
+    return rows.select("doc_id", "h.char_count", "h.word_count", "h.is_target", F.round("h.confidence", 6).alias("confidence"))
+
+
+_VALID = rf"""
+WITH t AS (SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'page', page_id, html FROM pages), {_HEURISTIC},
+v AS (SELECT kind, id, CASE WHEN coalesce(text, '') = '' THEN 'no_content' WHEN {TOKENS.format("text")} < 20 THEN 'too_short'
+      WHEN list_sum([length(x) for x in regexp_extract_all(text, '<[^>]+>')]) / length(text) > 0.1 THEN 'html_residual' WHEN NOT (nc > 0 OR ratio >= 0.1) THEN 'not_target' ELSE 'passed' END AS reason,
+      CAST({TOKENS.format("text")} AS BIGINT) AS word_count FROM g)
+"""
+
+
+def _validated(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), "text")
+    pages = table(spark, sf_dir, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    return docs.unionByName(pages).select("kind", "id", filters.validation(F.col("text")).alias("v")).select("kind", "id", "v.reason", "v.word_count")
+
+
+@query(_VALID + "SELECT * FROM v")
+def n1_heuristic_validate(spark, sf_dir):
+    return _validated(spark, sf_dir)
+
+
+@query(_VALID + "SELECT kind, reason, count(*) AS n_rows, CAST(sum(word_count) AS BIGINT) AS words FROM v GROUP BY ALL")
+def n1_reason_report(spark, sf_dir):
+    return _validated(spark, sf_dir).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("word_count").alias("words"))
+
+
+@query("SELECT page_id, coalesce(list_sum([length(x) for x in regexp_extract_all(html, '<[^>]+>')]), 0) / length(html) > 0.1 AS residual FROM pages")
+def html_residual(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", (tx.html_share(F.col("html")) > 0.1).alias("residual"))
+
+
+@query(rf"SELECT doc_id, len([w for w in regexp_extract_all(text, '[^\s]+') if length(regexp_replace(w, '[^\p{{L}}\p{{N}}_]', '', 'g')) >= 2]) >= 3 AS valid, contains(text, '```') AS code FROM documents")
+def sentence_validity(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", tx.is_valid_sentence(F.col("text")).alias("valid"), tx.has_code(F.col("text")).alias("code"))
+
+
+# --- segmentation and repair -------------------------------------------------------------------------------------------
+
+_GROUPS = f"""
+WITH s AS (SELECT doc_id, source, {SENTENCES} AS x FROM documents),
+     g AS (SELECT doc_id, source, unnest(range(0, len(x), 2)) AS i, x FROM s),
+     p AS (SELECT doc_id, source, i // 2 AS part, array_to_string(x[i + 1:i + 2], ' ') AS text FROM g),
+     k AS (SELECT *, length(text) < 10 AS short, regexp_replace(lower(text), '\\s+', ' ', 'g') AS key FROM p),
+     m AS (SELECT doc_id, part, text, CASE WHEN short THEN 'short' WHEN row_number() OVER (PARTITION BY short, key ORDER BY doc_id, part) = 1 THEN 'kept' ELSE 'dup' END AS reason FROM k)
+"""
+
+
+@query(f"SELECT doc_id, unnest({SENTENCES}) AS text FROM documents")
+def split_sentences(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.sentences(F.col("text"))).alias("text"))
+
+
+@query(_GROUPS + "SELECT doc_id, CAST(part AS INTEGER) AS part, text FROM p")
+def split_pairs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(tx.sentence_groups(F.col("text"))).alias("part", "text"))
+
+
+@query(_GROUPS + "SELECT doc_id, text FROM m WHERE reason = 'kept'")
+def split_dedup(spark, sf_dir):
+    return segment.split_fragments(corpus(spark, sf_dir)).where("reason = 'kept'").select("doc_id", "text")
+
+
+@query(_GROUPS + "SELECT reason, count(*) AS n_rows, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes, CAST(0 AS BIGINT) AS n_code FROM m GROUP BY 1")
+def split_counters(spark, sf_dir):
+    return segment.split_counters(segment.split_fragments(corpus(spark, sf_dir)))
+
+
+@query(f"SELECT doc_id, unnest({ARTICLE}) AS text FROM documents")
+def article_sentences(spark, sf_dir):
+    return segment.sentence_rows(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", "text")
+
+
+@query(rf"""
+WITH s AS (SELECT lang, CAST({TOKENS.format("s")} AS BIGINT) AS n FROM (SELECT lang, unnest({ARTICLE}) AS s FROM documents)),
+     r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n) AS k, count(*) OVER (PARTITION BY lang) AS c FROM s)
+SELECT lang, count(*) AS n, min(n) AS min_len, max(n) AS max_len, CAST(sum(n) AS DOUBLE) / count(*) AS avg_len, max(n) FILTER (k = c // 2 + 1) AS upper_median FROM r GROUP BY lang""")
+def sentence_length_stats(spark, sf_dir):
+    rows = segment.sentence_rows(table(spark, sf_dir, "documents"), ["lang"])
+    return stats.length_stats(rows, tx.token_count(F.col("text")), "lang")
+
+
+_CHUNKS = r"""
+k AS (SELECT *, greatest(1, len(w) // 18 + CASE WHEN len(w) % 18 >= 3 THEN 1 ELSE 0 END) AS k FROM t WHERE len(w) > 0),
+c AS (SELECT doc_id, array_to_string(w[j * 18 + 1:CASE WHEN j < k - 1 THEN j * 18 + 18 ELSE len(w) END], ' ') AS text FROM (SELECT *, unnest(range(0, k)) AS j FROM k))
+"""
+
+
+@query(rf"WITH t AS (SELECT doc_id, regexp_extract_all(text, '[^\s]+') AS w FROM documents), {_CHUNKS} SELECT doc_id, text FROM c")
+def word_chunks(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.word_chunks(tx.tokens(F.col("text")))).alias("text"))
+
+
+@query(rf"""
+WITH p AS (SELECT doc_id, regexp_extract_all(unnest(string_split_regex(text, '[.!?]')), '[^\s]+') AS w FROM documents),
+     t AS (SELECT * FROM p WHERE len(w) >= 3), {_CHUNKS}
+SELECT doc_id, text FROM c WHERE len([x for x in string_split(text, ' ') if length(regexp_replace(x, '[^\p{{L}}\p{{N}}_]', '', 'g')) >= 2]) >= 3""")
+def spoken_sentences(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.spoken_sentences(F.col("text"))).alias("text"))
+
+
+@query()
+def collapse_repetitions(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.collapse_repetitions(F.col("text")).alias("text"))
+
+
+@query()
+def dedupe_repeats(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.collapse_runs(F.col("text")).alias("text"))
+
+
+@query(f"SELECT conv_id, turn, unnest({TEXTS.format(chr(115) + 'tring_split_regex(text, ' + chr(39) + '[.!?]|' + chr(92) * 2 + 'n' + chr(39) + ')')}) AS text FROM conversations")
+def segment_sentences(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(tx.cut_sentences(F.col("text"))).alias("text"))
+
+
+@query()
+def transcript_clean(spark, sf_dir):
+    return segment.transcript_sentences(table(spark, sf_dir, "conversations").withColumn("video", F.concat("conv_id", F.lit("-"), "turn")), "video").select("video", "text")
+
+
+@query()
+def asr_documents(spark, sf_dir):
+    chunks = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("chunk_id"), "text", (F.pmod(F.col("turn"), F.lit(10)) / 10.0).alias("confidence"))
+    return flat(segment.asr_documents(chunks, "conv_id"))
+
+
+@query()
+def wer(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    heard = F.array_join(F.filter(tx.tokens(F.col("text")), lambda w: F.crc32(w.cast("binary")) % 7 != 0), " ")
+    rate = tx.wer(F.col("text"), heard)
+    return rows.select("conv_id", "turn", rate.alias("wer"), tx.wer_band(rate).alias("band"))
+
+
+@query(r"""
+WITH r AS (SELECT conv_id, turn, regexp_replace(text, '[^A-Za-z ]', '', 'g') AS a FROM conversations), h AS (SELECT *, replace(replace(a, 'e', ''), ' ', '') AS b, replace(a, ' ', '') AS c FROM r)
+SELECT conv_id, turn, CASE WHEN length(c) = 0 THEN 0.0 ELSE levenshtein(c, b) / length(c) END AS cer FROM h""")
+def cer(spark, sf_dir):
+    plain = F.regexp_replace("text", "[^A-Za-z ]", "")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.cer(plain, F.replace(plain, F.lit("e"), F.lit(""))).alias("cer"))
+
+
+@query("SELECT doc_id, unnest(range(0, CASE WHEN n_chars >= 120 THEN (n_chars - 120) // 110 + 1 ELSE 0 END)) * 110 AS start FROM documents")
+def chunk_windows_tail_drop(spark, sf_dir):
+    starts = segment.windows_without_tail(F.col("n_chars"), 120, 110)
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(starts).alias("start")).select("doc_id", F.col("start").cast("long"))
+
+
+@query("SELECT doc_id, CAST(s AS BIGINT) AS start, CAST(greatest(s + 200 - n_chars, 0) AS INTEGER) AS padding FROM (SELECT doc_id, n_chars, unnest(range(0, CASE WHEN n_chars > 0 THEN (n_chars - 1) // 180 + 1 ELSE 0 END)) * 180 AS s FROM documents)")
+def chunk_windows_padded(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(segment.windows_padded(F.col("n_chars"), 200, 180)).alias("w"))
+    return rows.select("doc_id", F.col("w.start").cast("long").alias("start"), "w.padding")
+
+
+@query(r"""
+SELECT event_id, CASE WHEN s // 3600 < 10 THEN '0' ELSE '' END || (s // 3600) || ':' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') AS duration
+FROM (SELECT event_id, CAST(floor(abs(value) * 100) AS BIGINT) AS s FROM events WHERE value IS NOT NULL)""")
+def duration_format(spark, sf_dir):
+    return table(spark, sf_dir, "events").where("value is not null").select("event_id", tx.format_duration(F.floor(F.abs("value") * 100)).alias("duration"))
+
+
+@query("SELECT doc_id, CASE WHEN n_chars < 1000 THEN 'n<1K' WHEN n_chars < 10000 THEN '1K<n<10K' WHEN n_chars < 100000 THEN '10K<n<100K' WHEN n_chars < 1000000 THEN '100K<n<1M' WHEN n_chars < 10000000 THEN '1M<n<10M' ELSE '10M<n<100M' END AS size FROM documents")
+def size_category(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", tx.size_category(F.col("n_chars")).alias("size"))
+
+
+# --- pages -------------------------------------------------------------------------------------------------------------
+
+_INNER = r"regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1)"
+
+
+@query(rf"""
+SELECT page_id, text FROM (SELECT page_id, array_to_string([y for y in [regexp_replace(x, '^[\s]+|[\s]+$', '', 'g') for x in string_split_regex(p, '<[^>]*>')] if y <> ''], ' ') AS text
+FROM (SELECT page_id, unnest({_INNER}) AS p FROM pages)) WHERE length(text) > 10""")
+def html_paragraphs(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(tx.paragraphs(F.col("html"))).alias("text"))
+
+
+@query(r"SELECT page_id, unnest(regexp_extract_all(html, '<a[^>]*\shref=~([^~]*)~', 1)) AS href FROM pages".replace("~", '"'))
+def page_links(spark, sf_dir):
+    return html.page_links(table(spark, sf_dir, "pages"), "html", "page_id").select("page_id", "href")
+
+
+@query(r"SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, regexp_extract(html, '<html[^>]*\slang=~([^~]*)~', 1) AS lang, regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1) AS host FROM pages".replace("~", '"'))
+def page_meta(spark, sf_dir):
+    return html.page_meta(table(spark, sf_dir, "pages"), "html", "url", "page_id")
+
+
+@query()
+def page_articles(spark, sf_dir):
+    rows = html.articles(table(spark, sf_dir, "pages"), "html", "page_id")
+    return rows.select("page_id", "content", "word_count", "has_video", "status", "error")
+
+
+@query("SELECT * FROM (VALUES ('a', 'x1', 'https://www.youtube.com/watch?v=x1'), ('b', 'x2', 'https://www.youtube.com/watch?v=x2'), ('c', 'x3', 'https://www.youtube.com/watch?v=x3'), ('d', NULL, NULL)) v(id, video_id, watch_url)")
+def video_ids(spark, sf_dir):
+    urls = [("a", "https://www.youtube.com/embed/x1?rel=0"), ("b", "https://www.youtube.com/watch?v=x2&t=4"), ("c", "https://youtu.be/x3"), ("d", "https://example.com/v/x4")]
+    rows = spark.createDataFrame(urls, "id string, url string")
+    return rows.select("id", tx.video_id(F.col("url")).alias("video_id"), tx.watch_url(tx.video_id(F.col("url"))).alias("watch_url"))
+
+
+# --- statistics --------------------------------------------------------------------------------------------------------
+
+
+@query(rf"""
+SELECT count(*) AS examples, CAST(sum({TOKENS.format("text")}) AS BIGINT) AS tokens, CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
+       count(*) FILTER ({KEY} = '') AS empty_examples, round(sum({TOKENS.format("text")}) / count(*), 6) AS avg_tokens, round(sum(length(text)) / count(*), 6) AS avg_chars FROM documents""")
+def corpus_totals(spark, sf_dir):
+    out = stats.corpus_totals(table(spark, sf_dir, "documents"))
+    return out.select("examples", "tokens", "chars", "bytes", "empty_examples", F.round("avg_tokens", 6).alias("avg_tokens"), F.round("avg_chars", 6).alias("avg_chars"))
+
+
+@query(rf"""
+SELECT source, count(*) AS examples, CAST(sum({TOKENS.format("text")}) AS BIGINT) AS tokens, CAST(sum(length(text)) AS BIGINT) AS chars, round(sum({TOKENS.format("text")}) / count(*), 6) AS avg_tokens FROM documents GROUP BY source""")
+def stats_by_source(spark, sf_dir):
+    return stats.stats_by_source(corpus(spark, sf_dir)).withColumn("avg_tokens", F.round("avg_tokens", 6))
+
+
+_SHARE = """SELECT {0} CAST(sum(n) AS BIGINT) AS evaluated, CAST(coalesce(sum(n) FILTER (lang = 'en'), 0) AS BIGINT) AS target, round(100.0 * coalesce(sum(n) FILTER (lang = 'en'), 0) / sum(n), 6) AS target_pct,
+       CASE WHEN coalesce(sum(n) FILTER (lang = 'en'), 0) > 0 THEN 1::DOUBLE ELSE 0::DOUBLE END AS target_conf, arg_min(lang, (-n, lang)) AS top_lang FROM ({1}) GROUP BY ALL"""
+
+
+@query(_SHARE.format("", "SELECT lang, count(*) AS n FROM documents GROUP BY lang"))
+def lang_share(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").withColumn("conf", F.lit(1.0))
+    return stats.language_share(rows, "lang", "conf", "en").withColumn("target_pct", F.round("target_pct", 6))
+
+
+@query(_SHARE.format("source,", "SELECT source, lang, count(*) AS n FROM documents GROUP BY source, lang"))
+def lang_share_by_source(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").withColumn("conf", F.lit(1.0))
+    return stats.language_share(rows, "lang", "conf", "en", "source").withColumn("target_pct", F.round("target_pct", 6))
+
+
+@query("SELECT doc_id, lang FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 300")
+def lang_sampled(spark, sf_dir):
+    return setops.sample(table(spark, sf_dir, "documents"), "doc_id", 300).select("doc_id", "lang")
+
+
+@query("SELECT source, count(*) AS n_rows FROM documents GROUP BY source")
+def source_histogram(spark, sf_dir):
+    return stats.source_histogram(corpus(spark, sf_dir))
+
+
+@query(f"SELECT count(*) AS n, count(DISTINCT {KEY}) AS distinct_keys, round(100.0 * (count(*) - count(DISTINCT {KEY})) / count(*), 6) AS duplicate_pct FROM documents")
+def duplicate_rate(spark, sf_dir):
+    return stats.duplicate_rate(table(spark, sf_dir, "documents")).withColumn("duplicate_pct", F.round("duplicate_pct", 6))
+
+
+@query("SELECT count(*) AS n_rows, count(text) AS n_texts, round(avg(length(text)), 6) AS avg_len, count(DISTINCT source) AS n_sources FROM documents")
+def dataset_profile(spark, sf_dir):
+    return stats.dataset_profile(table(spark, sf_dir, "documents")).withColumn("avg_len", F.round("avg_len", 6))
+
+
+@query("""
+WITH o AS (SELECT [o_orderpriority, o_orderstatus, o_orderstatus] AS c, o_custkey AS w FROM orders),
+     e AS (SELECT unnest(c) AS category FROM o), d AS (SELECT unnest(list_distinct(c)) AS category, w FROM o)
+SELECT category, n_listed, words FROM (SELECT category, count(*) AS n_listed FROM e GROUP BY 1) JOIN (SELECT category, CAST(sum(w) AS BIGINT) AS words FROM d GROUP BY 1) USING (category) ORDER BY n_listed DESC, category LIMIT 10""")
+def category_top_k(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.array("o_orderpriority", "o_orderstatus", "o_orderstatus").alias("c"), "o_custkey")
+    return stats.category_totals(rows, "c", F.col("o_custkey"))
+
+
+@query("SELECT year, n_rows FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS n_rows FROM orders GROUP BY 1) ORDER BY year DESC LIMIT 5")
+def year_histogram(spark, sf_dir):
+    year = F.split_part(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-"), F.lit(1))
+    return table(spark, sf_dir, "orders").groupBy(year.alias("year")).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("year")).limit(5)
+
+
+@query("""
+WITH c AS (SELECT o_orderpriority, CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS n_rows FROM orders GROUP BY ALL)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY n_rows DESC, year DESC) AS INTEGER) AS nth FROM c) WHERE nth <= 3""")
+def top_year_per_category(spark, sf_dir):
+    return stats.top_k_per_group(table(spark, sf_dir, "orders"), "o_orderpriority", F.date_format("o_orderdate", "yyyy"), "year", 3)
+
+
+@query(r"""
+SELECT count(*) AS articles, CAST(sum(w) AS BIGINT) AS words, count(*) FILTER (v > 0) AS with_videos, CAST(sum(v) AS BIGINT) AS videos, round(sum(w) / count(*), 6) AS avg_words, round(sum(w) * 7 / (1024.0 * 1024.0), 6) AS est_mb, round(sum(v) / count(*), 6) AS videos_per_article
+FROM (SELECT len(regexp_extract_all(text, '[^\s]+')) AS w, doc_id % 3 AS v FROM documents)""")
+def article_totals(spark, sf_dir):
+    out = stats.article_totals(table(spark, sf_dir, "documents"), tx.token_count(F.col("text")), F.col("doc_id") % 3)
+    return out.select("articles", "words", "with_videos", "videos", *[F.round(c, 6).alias(c) for c in ("avg_words", "est_mb", "videos_per_article")])
+
+
+# --- comparison, gates and splits --------------------------------------------------------------------------------------
+
+_KEYS = f"a AS (SELECT DISTINCT {KEY} AS key FROM benchmark WHERE {KEY} <> ''), b AS (SELECT DISTINCT {KEY} AS key FROM documents WHERE {KEY} <> '')"
+
+
+@query(f"WITH {_KEYS} SELECT count(*) FILTER (b.key IS NULL) AS missing, count(*) FILTER (a.key IS NULL) AS added, count(*) FILTER (a.key IS NOT NULL AND b.key IS NOT NULL) AS common FROM a FULL JOIN b ON a.key = b.key")
+def baseline_loss(spark, sf_dir):
+    return setops.baseline_loss(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+@query(f"WITH {_KEYS} SELECT key FROM a ANTI JOIN b USING (key)")
+def lost_keys(spark, sf_dir):
+    return setops.lost_keys(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+@query("SELECT count(*) FILTER (l.doc_id IS NOT NULL AND d.doc_id IS NOT NULL) AS common, count(*) FILTER (l.doc_id IS NULL) AS only_one, count(*) FILTER (d.doc_id IS NULL) AS only_two, count(*) AS either FROM documents d FULL JOIN labels l ON l.doc_id = d.doc_id")
+def corpus_compare(spark, sf_dir):
+    return setops.compare_ids(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("SELECT lang AS category, count(*) AS n_rows FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY lang")
+def new_by_category(spark, sf_dir):
+    return setops.new_by_category(table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"), "doc_id", F.col("lang"))
+
+
+@query(f"SELECT count(*) AS n, count(*) FILTER ({KEY} = '') AS empty, count(DISTINCT {KEY}) AS keys, CAST(sum(strlen(coalesce(text, ''))) AS BIGINT) AS bytes FROM documents")
+def gate_measures(spark, sf_dir):
+    return measures(table(spark, sf_dir, "documents"))
+
+
+@query(f"""
+WITH m AS (SELECT count(*) AS n, count(*) FILTER ({KEY} = '') AS e, count(DISTINCT {KEY}) AS k, sum(strlen(text)) AS b FROM documents),
+     l AS (SELECT count(*) AS x FROM (SELECT {KEY} AS key FROM benchmark EXCEPT SELECT {KEY} FROM documents) WHERE key <> '')
+SELECT unnest(['schema', 'min_examples', 'empty_texts', 'duplicates', 'raw_text_size', 'target_lang_pct', 'no_baseline_loss']) AS name,
+       unnest([true, n >= 100, e <= 0, round(100.0 * (n - k) / n, 4) <= 10, round(b / 1e6, 2) >= 0.1, true, x = 0]) AS passed FROM m, l""")
+def gates_report(spark, sf_dir):
+    config = GateConfig(min_examples=100, max_duplicate_pct=10.0, min_text_mb=0.1, min_target_pct=50.0)
+    report = run_gates(corpus(spark, sf_dir).select("text", "sources"), config, {"lid": {"target_pct": 60.0}}, table(spark, sf_dir, "benchmark"))
+    return spark.createDataFrame([(r.name, r.passed) for r in report.results], "name string, passed boolean")
 
 
-def queries():
-    return {"provenance_merge": provenance_merge}
+@query("""
+WITH d AS (SELECT doc_id, md5('42:' || doc_id) AS d FROM documents), r AS (SELECT doc_id, row_number() OVER (ORDER BY d, doc_id) AS n FROM d)
+SELECT doc_id, CASE WHEN n <= 150 THEN 'train' ELSE 'test' END AS split FROM r""")
+def train_test_split(spark, sf_dir):
+    return setops.train_test(table(spark, sf_dir, "documents"), "doc_id", 150).select("doc_id", "split")
 
 
-def oracle_sql():
-    return {}
+@query()
+def schema_compare(spark, sf_dir):
+    return setops.compare_schemas(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
