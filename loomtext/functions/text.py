@@ -201,7 +201,7 @@ def wer_band(rate: Column) -> Column:
 def confidence(log_probs: Column) -> Column:
     """exp of the mean of ``log_probs`` within 0 and 1; 0.5 where there are none."""
     mean = F.aggregate(log_probs, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(log_probs), F.lit(0))
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(mean))), F.lit(0.5))
+    return F.when(mean.isNull(), F.lit(0.5)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(mean))))
 
 
 def format_duration(seconds: Column) -> Column:
