@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.staging import staged
+from loomtext.llm.staging import fresh, staged
 
 #: Words of the shortest repeated run that is removed.
 MIN_WORDS = 30
@@ -67,14 +67,13 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     """
     gone = repeated_lines(docs, doc_id, text, min_words)
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    rows = docs.select(*names, _row(doc_id, text).alias("_row")).join(gone.select(F.col("row").alias("_row"), F.col("gone").alias("_gone")), "_row", "left")
-    parts = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_gone")
-    left = F.array_join(F.transform(kept, lambda i: F.get("_parts", i)), "\n")
-    #: without white space of any length: a line has words if it has anything but spaces
-    full = F.size(F.filter("_parts", lambda x: F.replace(x, F.lit(" "), F.lit("")) != ""))
-    rows = rows.withColumn("_parts", parts)
+    row, dropped, split = (fresh(docs, c) for c in ("_row", "_gone", "_parts"))
+    rows = docs.select(*names, _row(doc_id, text).alias(row)).join(gone.select(F.col("row").alias(row), F.col("gone").alias(dropped)), row, "left")
+    rows = rows.withColumn(split, F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), dropped)
+    left = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
+    full = F.size(F.filter(split, lambda x: F.replace(x, F.lit(" "), F.lit("")) != ""))
     return rows.select(
-        *[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c) for c in names],
-        full.cast("long").alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
+        *[F.when(F.col(dropped).isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c) for c in names],
+        full.cast("long").alias("n_lines"), F.when(F.col(dropped).isNull(), 0).otherwise(F.size(dropped)).cast("long").alias("n_removed"),
     )

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.llm.bytewise import ASCII_SPACE, chunks, prefix_hash, span_hash, table_of, word_spans
+from loomtext.llm.staging import fresh
 
 #: Most positives and most unlabelled texts that the model is fitted on; the sample is taken by hash of the id.
 POSITIVES = 10_000
@@ -105,6 +106,8 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     Each half is scored by a model of the other half, so that texts it was fitted on don't flatter it.
     """
     bounds = []
+    shuffle = np.random.default_rng(0).permutation
+    positive, unlabelled = positive[shuffle(len(positive))], unlabelled[shuffle(len(unlabelled))]
     for k in (0, 1):
         p, u = positive[k::2], unlabelled[k::2]
         model = Additive(u)
@@ -175,12 +178,14 @@ def score_quality(docs: DataFrame, model: Additive, text: str = "text") -> DataF
     """
     names = [c for c in docs.columns if c != "score"]
 
+    given = fresh(docs, "_text")
+
     def score(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
+            at = batch.schema.get_field_index(given)
             columns = [c for k, c in enumerate(batch.columns) if k != at]
             yield pa.record_batch([*columns, pa.array(model.score(features(batch.column(at))))], names=[*names, "score"])
 
     kept = docs.select(*names)
     schema = kept.withColumn("score", F.lit(0.0)).schema
-    return kept.withColumn("_text", F.col(text)).mapInArrow(score, schema)
+    return kept.withColumn(given, F.col(text)).mapInArrow(score, schema)

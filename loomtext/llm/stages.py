@@ -9,6 +9,7 @@ from loomtext.llm import quality as _quality
 from loomtext.llm.decontaminate import contamination
 from loomtext.llm.jaccard import near_duplicates
 from loomtext.llm.linededup import drop_repeated_lines
+from loomtext.llm.staging import fresh
 from loomtext.llm.unigram import encode_texts
 from loomtext.session import ship, table
 
@@ -39,17 +40,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship(spark)
     found = near_duplicates(docs, size=SHINGLE, percent=PERCENT)
     stay = found.where("n > 0").where(F.col("doc_id").eqNullSafe(F.col("component_doc"))).groupBy("component").agg(F.min("row").alias("row")).select("row")
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    row = fresh(docs, "_row")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
     wordless = found.where("n = 0").select("row").distinct()
-    single = keyed.join(stay.withColumnRenamed("row", "_row"), "_row", "left_semi").dropDuplicates(["_row"])
-    return single.unionByName(keyed.join(wordless.withColumnRenamed("row", "_row"), "_row", "left_semi")).select(*docs.columns)
+    single = keyed.join(stay.withColumnRenamed("row", row), row, "left_semi").dropDuplicates([row])
+    return single.unionByName(keyed.join(wordless.withColumnRenamed("row", row), row, "left_semi")).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item, unchanged."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    hit = contamination(keyed.select("_row", "text"), table(spark, sf_dir, "benchmark"), doc_id="_row").where("n_hit > 0").select(F.col("doc_id").alias("_row"))
-    return keyed.join(hit, "_row", "left_anti").select(*docs.columns)
+    row = fresh(docs, "_row")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    hit = contamination(keyed.select(row, "text"), table(spark, sf_dir, "benchmark"), doc_id=row).where("n_hit > 0").select(F.col("doc_id").alias(row))
+    return keyed.join(hit, row, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

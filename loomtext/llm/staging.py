@@ -27,3 +27,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/loomtext/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

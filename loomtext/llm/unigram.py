@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from loomtext.llm.bytewise import chunks
 from loomtext.llm.memo import Memo
+from loomtext.llm.staging import fresh
 
 MARKER = "▁".encode()
 #: Below the least score of any piece: what a character costs that no piece covers.
@@ -268,10 +269,12 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     base = docs.select(*names)
     schema = base.withColumn("ids", F.array().cast("array<int>")).withColumn("decoded", F.lit("")).schema
 
+    given = fresh(docs, "_text")
+
     def encode(batches):
         coder = _coder(shared)
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
+            at = batch.schema.get_field_index(given)
             rest = [c for k, c in enumerate(batch.columns) if k != at]
             for lo, hi, raw, offsets in chunks(batch.column(at)):
                 ids, counts = coder.encode(raw, offsets)
@@ -280,7 +283,7 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
                 decoded = pa.StringArray.from_buffers(hi - lo, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(back.tobytes()))
                 yield pa.record_batch([*[c.slice(lo, hi - lo) for c in rest], lists, decoded], names=[*names, "ids", "decoded"])
 
-    return base.withColumn("_text", F.col(text)).mapInArrow(encode, schema)
+    return base.withColumn(given, F.col(text)).mapInArrow(encode, schema)
 
 
 def encoded_digests(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
