@@ -127,8 +127,10 @@ class WaveletMatrix:
             ones = np.unpackbits(self.bits[plane], count=self.n, bitorder="little").view(bool)
             split = int(self.zeros[plane])
             up = np.empty(self.n, kind)
-            up[~ones] = now[:split]
-            up[ones] = now[split:]
-            up |= ones.astype(kind) << kind(self.width - 1 - plane)
+            high = now[split:]
+            high |= kind(1 << (self.width - 1 - plane))
+            for bits, part in ((~ones, now[:split]), (ones, high)):
+                if len(part):
+                    np.place(up, bits, part)
             now = up
         return now
