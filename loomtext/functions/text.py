@@ -217,6 +217,16 @@ def transcription_minutes(seconds: Column) -> Column:
     return F.struct(gpu.alias("gpu"), (gpu * 5).alias("cpu"))
 
 
+def transcription_minutes_of_size(megabytes: Column, known_mb: float = 289.0, known_minutes: float = 85.0) -> Column:
+    """Minutes of audio in a file of this size, in proportion to a known one."""
+    return megabytes * known_minutes / known_mb
+
+
+def preview(text: Column, chars: int = 500) -> Column:
+    """The first characters of a text, for display only."""
+    return F.substring(F.coalesce(text, F.lit("")), 1, chars)
+
+
 def size_category(n: Column) -> Column:
     """The size bucket of a data card."""
     out = F.when(n < 1_000, "n<1K")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import iframe_videos, paragraphs, token_count
@@ -58,3 +58,10 @@ def video_list(rows: DataFrame, article: str, title: str, videos: str = "videos"
     """(article_id, article_title, video_id, watch_url): a row for each video of each article."""
     each = rows.select(F.col(article).alias("article_id"), F.col(title).alias("article_title"), F.explode(videos).alias("v"))
     return each.select("article_id", "article_title", "v.video_id", "v.watch_url")
+
+
+def articles_with_videos(rows: DataFrame, key: str, order: str, videos: str = "videos") -> DataFrame:
+    """The last row of each key that has videos, sorted by the key as text."""
+    last = rows.where(F.col(videos).isNotNull() & (F.size(videos) > 0))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))
+    return last.withColumn("_nth", nth).where("_nth = 1").drop("_nth").orderBy(F.col(key).cast("string"))

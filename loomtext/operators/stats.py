@@ -93,3 +93,32 @@ def article_totals(rows: DataFrame, words: Column, videos: Column) -> DataFrame:
 def dataset_profile(rows: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
     """One row: rows, texts that are not null, their mean length and the number of sources."""
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count(text).alias("n_texts"), F.avg(F.length(text)).alias("avg_len"), F.countDistinct(source).alias("n_sources"))
+
+
+def language_top(rows: DataFrame, label: str, top: int = 20) -> DataFrame:
+    """(label, n_rows, pct) of the ``top`` most common labels, percentages of all rows, ties by name."""
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = counts.agg(F.sum("n_rows").alias("total"))
+    shares = counts.crossJoin(F.broadcast(total)).select(label, "n_rows", (100.0 * F.col("n_rows") / F.col("total")).alias("pct"))
+    return shares.orderBy(F.desc("n_rows"), label).limit(top)
+
+
+def sources_with_language(by_source: DataFrame, languages: DataFrame) -> DataFrame:
+    """Source roll-up with the language columns of the same source, null where it was not evaluated."""
+    return by_source.join(languages, "source", "left")
+
+
+def total_duration(videos: DataFrame, seconds: str = "duration_seconds", available: str = "available") -> DataFrame:
+    """One row: available videos, their summed duration, and unavailable ones; a null flag is unavailable."""
+    ok = F.coalesce(F.col(available), F.lit(False))
+    return videos.agg(F.count_if(ok).alias("n_available"), F.coalesce(F.sum(F.when(ok, F.col(seconds).cast("long"))), F.lit(0)).alias("seconds"), F.count_if(~ok).alias("n_missing"))
+
+
+def outcome_counts(rows: DataFrame, status: str = "status") -> DataFrame:
+    """(status, n_rows) of a crawl or a transcription run."""
+    return rows.groupBy(F.coalesce(F.col(status), F.lit("unknown")).alias("status")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def group_words(rows: DataFrame, group: str, words: Column, default: str) -> DataFrame:
+    """Rows and words of each group, nulls under ``default``, by words descending."""
+    return rows.groupBy(F.coalesce(F.col(group), F.lit(default)).alias(group)).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(words.cast("long")).alias("words")).orderBy(F.desc("words"), group)

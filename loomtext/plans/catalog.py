@@ -437,6 +437,51 @@ def article_totals(spark, sf_dir):
     return out.select("articles", "words", "with_videos", "videos", *[F.round(c, 6).alias(c) for c in ("avg_words", "est_mb", "videos_per_article")])
 
 
+@query("SELECT lang, n_rows, round(100.0 * n_rows / (SELECT count(*) FROM documents), 6) AS pct FROM (SELECT lang, count(*) AS n_rows FROM documents GROUP BY lang) ORDER BY n_rows DESC, lang LIMIT 20")
+def lang_top(spark, sf_dir):
+    return stats.language_top(table(spark, sf_dir, "documents"), "lang").withColumn("pct", F.round("pct", 6))
+
+
+@query("""
+SELECT source, examples, evaluated FROM (SELECT source, count(*) AS examples FROM documents GROUP BY 1)
+LEFT JOIN (SELECT source, count(*) AS evaluated FROM documents WHERE doc_id % 7 = 0 AND source <> 'src1' GROUP BY 1) USING (source)""")
+def source_language_join(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    lid = stats.language_share(rows.where("doc_id % 7 = 0 and source <> 'src1'").withColumn("conf", F.lit(1.0)), "lang", "conf", "en", "source").select("source", "evaluated")
+    return stats.sources_with_language(stats.stats_by_source(rows), lid).select("source", "examples", "evaluated")
+
+
+@query("SELECT count(*) FILTER (coalesce(value, 0) > 10) AS n_available, CAST(coalesce(sum(CAST(floor(value) AS BIGINT)) FILTER (coalesce(value, 0) > 10), 0) AS BIGINT) AS seconds, count(*) FILTER (NOT coalesce(value, 0) > 10) AS n_missing FROM events")
+def video_durations(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.floor("value").alias("duration_seconds"), (F.col("value") > 10).alias("available"))
+    return stats.total_duration(rows)
+
+
+@query("SELECT CASE WHEN page_id % 3 = 0 THEN 'failed' WHEN page_id % 3 = 1 THEN 'success' ELSE 'unknown' END AS status, count(*) AS n_rows FROM pages GROUP BY 1")
+def crawl_outcomes(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select(F.when(F.col("page_id") % 3 == 0, "failed").when(F.col("page_id") % 3 == 1, "success").alias("status"))
+    return stats.outcome_counts(rows)
+
+
+@query(r"SELECT coalesce(nullif(lang, 'de'), 'none') AS domain, count(*) AS n_rows, CAST(sum(len(regexp_extract_all(text, '[^\s]+'))) AS BIGINT) AS words FROM documents GROUP BY 1")
+def domain_words(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.nullif("lang", F.lit("de")).alias("domain"), "text")
+    return stats.group_words(rows, "domain", tx.token_count(F.col("text")), "none")
+
+
+@query("SELECT event_type, date_trunc('hour', ts) AS start, count(*) AS n_rows FROM events WHERE ts IS NOT NULL GROUP BY ALL")
+def windowed_counts(spark, sf_dir):
+    from loomtext.streaming.ingest import windowed_counts as counts
+
+    out = counts(table(spark, sf_dir, "events").select("ts", "event_type"), "ts", "event_type")
+    return out.select("event_type", F.col("start").cast("timestamp_ntz").alias("start"), "n_rows")
+
+
+@query("SELECT vec_id, CASE WHEN len(embedding) = 0 THEN 0.5::DOUBLE ELSE round(greatest(0, least(1, exp(list_sum([CAST(x AS DOUBLE) for x in embedding]) / len(embedding)))), 9) END AS confidence FROM embeddings")
+def chunk_confidence(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(tx.confidence(F.col("embedding").cast("array<double>")), 9).alias("confidence"))
+
+
 # --- comparison, gates and splits --------------------------------------------------------------------------------------
 
 _KEYS = f"a AS (SELECT DISTINCT {KEY} AS key FROM benchmark WHERE {KEY} <> ''), b AS (SELECT DISTINCT {KEY} AS key FROM documents WHERE {KEY} <> '')"
