@@ -1,8 +1,8 @@
 """Vectorised work on the bytes of many texts at once.
 
 A text column of an Arrow batch is one byte buffer with offsets. Words, shingles and span hashes are computed over the
-whole buffer with NumPy, so no Python object is made for a word. Buffers are cut into chunks of whole texts, about a
-megabyte each, which bounds memory; a longer text is a chunk of its own.
+whole buffer with NumPy, so no Python object is made for a word. Buffers are cut into chunks of whole texts, about half
+a megabyte each, which bounds memory; a longer text is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Fixed odd multiplier of the span hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]

@@ -127,6 +127,19 @@ FROM d LEFT JOIN word USING (r) LEFT JOIN it USING (r)
 """
 
 
+OP6_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({LOW}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+     s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], chr(1)) AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+     l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+     e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+     r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+     m AS (SELECT a AS doc_id, min(b) AS least FROM r GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m.least, doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 OP7_SQL = """
 WITH l AS (SELECT doc_id, pos, line, len(list_filter(string_split(line, ' '), lambda x: x <> '')) AS w
            FROM (SELECT doc_id, generate_subscripts(p, 1) AS pos, unnest(p) AS line
@@ -147,4 +160,4 @@ FROM t GROUP BY doc_id
 
 
 def oracle_sql():
-    return {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op6_jaccard_join": OP6_SQL, "op7_line_dedup": OP7_SQL}
