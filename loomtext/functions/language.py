@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomtext.functions.text import let
+
 #: Fixed values of the heuristic for the target language: typical characters, counted as they are written, and words.
 TARGET_CHARS = "ëñóàéèɛɔŋ"
 TARGET_WORDS = (
@@ -21,16 +23,21 @@ def heuristic(text: Column, chars: str = TARGET_CHARS, words: tuple = TARGET_WOR
 
     Any typical character or a word share of ``share`` decides; case counts for characters and not for words.
     """
-    n_chars = F.length(text) - F.length(F.translate(text, chars, ""))
     found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    known = F.size(F.filter(found, lambda w: w.isin(*words)))
-    ratio = F.coalesce(known / F.nullif(F.size(found), F.lit(0)), F.lit(0.0))
-    has = n_chars > 0
-    return F.struct(
-        n_chars.cast("long").alias("char_count"), known.cast("long").alias("word_count"), ratio.alias("word_ratio"),
-        F.coalesce(n_chars / F.nullif(F.length(text), F.lit(0)), F.lit(0.0)).alias("char_density"), has.alias("has_chars"),
-        (has | (ratio >= share)).alias("is_target"), F.least(F.lit(1.0), F.when(has, 0.4).otherwise(0.0) + ratio * 0.6).alias("confidence"),
-    )
+    counted = let(found, lambda ws: F.struct(F.size(F.filter(ws, lambda w: w.isin(*words))).alias("known"), F.size(ws).alias("all")))
+
+    def evidence(x):
+        n_chars, known = x["chars"], x["words"]["known"]
+        ratio = F.coalesce(known / F.nullif(x["words"]["all"], F.lit(0)), F.lit(0.0))
+        has = n_chars > 0
+        return F.struct(
+            n_chars.cast("long").alias("char_count"), known.cast("long").alias("word_count"), ratio.alias("word_ratio"),
+            F.coalesce(n_chars / F.nullif(x["length"], F.lit(0)), F.lit(0.0)).alias("char_density"), has.alias("has_chars"),
+            (has | (ratio >= share)).alias("is_target"), F.least(F.lit(1.0), F.when(has, 0.4).otherwise(0.0) + ratio * 0.6).alias("confidence"),
+        )
+
+    n_chars = F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]", ""))
+    return let(F.struct(n_chars.alias("chars"), F.length(text).alias("length"), counted.alias("words")), evidence)
 
 
 def from_column(label: Column, conf: float = 1.0) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions.text import key_strip, key_squeezed, norm_sources
@@ -29,10 +29,14 @@ def corpus_union_merge(corpora: list[DataFrame], text: str = "text", sources: st
     return provenance_merge(reduce(DataFrame.unionByName, ranked), F.col("_ord"), text, sources, drop_blank=True)
 
 
-def first_wins(rows: DataFrame, key: Column, *order: Column) -> DataFrame:
-    """The first row of each key by ``order``; null keys equal each other."""
-    ranked = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.where("_nth = 1").drop("_nth")
+def first_wins(rows: DataFrame, key: Column, *order: Column, last: bool = False) -> DataFrame:
+    """The first row of each key by ``order`` (or the last one); null keys equal each other.
+
+    A row for each key and task is shuffled, so a key that very many rows share costs no more than another.
+    """
+    pick = F.max_by if last else F.min_by
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.groupBy(key.alias("_key")).agg(pick(whole, F.struct(*order)).alias("_row")).select("_row.*")
 
 
 def append_merge(corpora: list[DataFrame], text: str = "text", order: str = "ord") -> DataFrame:
@@ -55,15 +59,15 @@ def fragment_dedup(fragments: DataFrame, *order: Column, text: str = "text") ->
 
 def keyed_append(existing: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """Existing rows win over new ones: the last of the existing, else the first of the new."""
-    kept = first_wins(existing, F.col(key), F.col(order).desc())
-    fresh = first_wins(new, F.col(key), F.col(order).asc()).join(kept.select(key), key, "left_anti")
+    kept = first_wins(existing, F.col(key), F.col(order), last=True)
+    fresh = first_wins(new, F.col(key), F.col(order)).join(kept.select(key), key, "left_anti")
     return kept.unionByName(fresh)
 
 
 def keyed_enrich(base: DataFrame, extra: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
     """Last row of each key in ``base``, with ``columns`` from ``extra`` where it knows the key; its other keys are added."""
-    left = first_wins(base, F.col(key), F.col(order).desc())
-    right = first_wins(extra, F.col(key), F.col(order).desc())
+    left = first_wins(base, F.col(key), F.col(order), last=True)
+    right = first_wins(extra, F.col(key), F.col(order), last=True)
     both = left.alias("l").join(right.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"), "full_outer")
     names = list(dict.fromkeys([*left.columns, *right.columns]))
 

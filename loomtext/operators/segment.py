@@ -12,16 +12,29 @@ from loomtext.operators.merge import first_wins
 def split_fragments(rows: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, min_chars: int = 10) -> DataFrame:
     """(key, part, text, sources, has_code, reason): sentence groups marked short, dup or kept, in this order."""
     parts = rows.select(key, "sources", has_code(F.col(text)).alias("has_code"), F.posexplode(sentence_groups(F.col(text), size)).alias("part", "text"))
-    short = parts.withColumn("short", F.length("text") < min_chars)
-    first = first_wins(short.where("not short"), key_squeezed(F.col("text")), F.col(key), F.col("part")).select(key, "part", F.lit(True).alias("first"))
-    marked = short.join(first, [key, "part"], "left")
-    reason = F.when(F.col("short"), "short").when(F.col("first"), "kept").otherwise("dup")
+    keyed = parts.withColumn("key", F.when(F.length("text") >= min_chars, key_squeezed(F.col("text"))))
+    first = keyed.where("key is not null").groupBy("key").agg(F.min(F.struct(key, "part")).alias("first"))
+    marked = keyed.join(first, "key", "left")
+    reason = F.when(F.col("key").isNull(), "short").when(F.struct(key, "part") == F.col("first"), "kept").otherwise("dup")
     return marked.select(key, "part", "text", "sources", "has_code", reason.alias("reason"))
 
 
-def split_counters(marked: DataFrame) -> DataFrame:
-    """(reason, n_rows, n_bytes, n_code) of split_fragments()."""
-    return marked.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.octet_length("text").cast("long")).alias("n_bytes"), F.count_if("has_code").alias("n_code"))
+def kept_fragments(rows: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, min_chars: int = 10) -> DataFrame:
+    """(key, part, text, sources): the kept rows of split_fragments(), found in one aggregation."""
+    parts = rows.select(key, "sources", F.posexplode(sentence_groups(F.col(text), size)).alias("part", "text")).where(F.length("text") >= min_chars)
+    return first_wins(parts, key_squeezed(F.col("text")), F.col(key), F.col("part")).select(key, "part", "text", "sources")
+
+
+def split_counters(rows: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, min_chars: int = 10) -> DataFrame:
+    """(reason, n_rows, n_bytes, n_code) of split_fragments(), from sums over the keys instead of marked rows."""
+    parts = rows.select(key, has_code(F.col(text)).cast("long").alias("code"), F.posexplode(sentence_groups(F.col(text), size)).alias("part", "text"))
+    parts = parts.select("code", F.octet_length("text").cast("long").alias("b"), F.struct(key, "part").alias("o"), F.when(F.length("text") >= min_chars, key_squeezed(F.col("text"))).alias("key"))
+    keys = parts.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("b").alias("b"), F.sum("code").alias("k"), F.min(F.struct("o", "b", "code")).alias("f"))
+    row = lambda reason, n, b, k: F.struct(F.lit(reason).alias("reason"), n.cast("long").alias("n"), b.alias("b"), k.alias("k"))
+    short = F.array(row("short", F.col("c"), F.col("b"), F.col("k")))
+    other = F.array(row("kept", F.lit(1), F.col("f.b"), F.col("f.code")), row("dup", F.col("c") - 1, F.col("b") - F.col("f.b"), F.col("k") - F.col("f.code")))
+    each = keys.select(F.explode(F.when(F.col("key").isNull(), short).otherwise(other)).alias("x"))
+    return each.groupBy("x.reason").agg(F.sum("x.n").alias("n_rows"), F.sum("x.b").alias("n_bytes"), F.sum("x.k").alias("n_code")).where("n_rows > 0")
 
 
 def sentence_rows(rows: DataFrame, keep: list[str], text: str = "text", min_words: int = 3) -> DataFrame:

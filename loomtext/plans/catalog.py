@@ -120,7 +120,8 @@ def _ingested(spark, sf_dir):
 
 @query(_MARKED + "SELECT source, reason, count(*) AS n_rows FROM m GROUP BY ALL")
 def ingest_cascade_counts(spark, sf_dir):
-    return filters.reason_counts(_ingested(spark, sf_dir), "source")
+    seen = from_column(F.col("lang"))
+    return filters.ingest_counts(corpus(spark, sf_dir), seen["label"], seen["conf"], "en", min_tokens=20, check_language=F.col("source") != "src0")
 
 
 @query(_MARKED + "SELECT doc_id, source, text FROM m WHERE reason = 'kept'")
@@ -212,12 +213,17 @@ def split_pairs(spark, sf_dir):
 
 @query(_GROUPS + "SELECT doc_id, text FROM m WHERE reason = 'kept'")
 def split_dedup(spark, sf_dir):
-    return segment.split_fragments(corpus(spark, sf_dir)).where("reason = 'kept'").select("doc_id", "text")
+    return segment.kept_fragments(corpus(spark, sf_dir)).select("doc_id", "text")
 
 
 @query(_GROUPS + "SELECT reason, count(*) AS n_rows, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes, CAST(0 AS BIGINT) AS n_code FROM m GROUP BY 1")
 def split_counters(spark, sf_dir):
-    return segment.split_counters(segment.split_fragments(corpus(spark, sf_dir)))
+    return segment.split_counters(corpus(spark, sf_dir))
+
+
+@query(_GROUPS + "SELECT doc_id, CAST(part AS INTEGER) AS part, reason FROM m")
+def split_reasons(spark, sf_dir):
+    return segment.split_fragments(corpus(spark, sf_dir)).select("doc_id", "part", "reason")
 
 
 @query(f"SELECT doc_id, unnest({ARTICLE}) AS text FROM documents")
