@@ -4,8 +4,8 @@ Documents are dealt by ranges of doc_id and encoded in order; every run of about
 written through Spark's own writer as a record of a compressed file, so any store that Spark reaches will do. Readers
 take documents, counts and occurrences from the packed bit planes.
 
-Byte-level BPE never joins what a space begins, so texts are cut before each space that a non-space follows, and equal
-pieces are encoded once for each Python worker.
+The pattern of byte-level BPE always parts a text before a space that something visible follows, around line ends and
+between a letter and a mark. Texts are cut at these places, and equal pieces are encoded once for each Python worker.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SHARD_TOKENS = 1 << 20
 PIECES = 3_000_000
 #: Bytes that begin no white space of any kind: visible ASCII and lead bytes but those of Unicode's white space.
 _PLAIN = table_of(bytes(range(0x21, 0x7F)) + bytes(b for b in range(0xC3, 0xF5) if b not in (0xE1, 0xE2, 0xE3)))
+_LETTER = table_of(bytes(range(65, 91)) + bytes(range(97, 123)))
+_MARK = table_of(b",.;:!?")
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -49,19 +51,28 @@ class PieceEncoder:
         self.memo = Memo(self._pieces, PIECES)
 
     def _pieces(self, blob: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces. Those that begin with a space may follow each other in one text, which parts just there."""
+        """Ids of pieces. Those that begin with a space may follow each other in one text, those of visible ends may stand
+        on lines of one text; it parts just there."""
         count = np.zeros(len(start), np.int64)
         spans = [blob[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-        joins = np.fromiter((s[0] == 32 for s in spans), bool, len(spans))
-        alone, joined = np.flatnonzero(~joins), np.flatnonzero(joins)
-        texts = [b"".join(spans[k] for k in joined.tolist()).decode(), *[spans[k].decode() for k in alone.tolist()]]
+        kind = np.fromiter((0 if s[0] == 32 else 1 if _PLAIN[s[0]] and _PLAIN[s[-1]] else 2 for s in spans), np.int64, len(spans))
+        spaced, visible, alone = (np.flatnonzero(kind == k) for k in range(3))
+        texts = [b"".join(spans[k] for k in spaced.tolist()).decode(), b"\n".join(spans[k] for k in visible.tolist()).decode(), *[spans[k].decode() for k in alone.tolist()]]
         lists = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         #: an id stands for as many bytes as its token has characters, so byte counts show where the pieces end
-        stops = np.searchsorted(np.cumsum(self.bytes[lists[0]]), np.cumsum((end - start)[joined]), "left") + 1
-        count[joined] = np.diff(stops, prepend=0)
-        count[alone] = [len(x) for x in lists[1:]]
-        order = np.repeat(np.concatenate((joined, alone)), count[np.concatenate((joined, alone))])
-        return np.concatenate(lists)[np.argsort(order, kind="stable")], count
+        for k, (some, gap) in enumerate(((spaced, 0), (visible, 1))):
+            at = np.cumsum(self.bytes[lists[k]])
+            stops = np.cumsum((end - start)[some] + gap) - gap
+            last = np.searchsorted(at, stops, "left") + 1
+            first = np.searchsorted(at, stops - (end - start)[some], "right")
+            count[some] = last - first
+            inside = np.zeros(len(at) + 1, np.int64)
+            np.add.at(inside, first, 1)
+            np.add.at(inside, last, -1)
+            lists[k] = lists[k][np.cumsum(inside[:-1]) > 0]
+        count[alone] = [len(x) for x in lists[2:]]
+        every = np.concatenate((spaced, visible, alone))
+        return np.concatenate(lists)[np.argsort(np.repeat(every, count[every]), kind="stable")], count
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, count of each text) of the texts in a buffer."""
@@ -75,7 +86,12 @@ class PieceEncoder:
         begins = np.zeros(len(raw) + 1, bool)
         begins[offsets] = True
         last = begins[1:].copy()
-        begins[: len(raw) - 1] |= (raw[:-1] == 32) & _PLAIN[raw[1:]] & ~last[:-1]
+        plain, line = _PLAIN[raw], raw == 10
+        #: before a space that something visible follows; before a line end that follows something visible, and after it
+        #: if that holds and something visible follows; between a letter and a mark
+        begins[: len(raw) - 1] |= (raw[:-1] == 32) & plain[1:] & ~last[:-1]
+        begins[1 : len(raw)] |= (plain[:-1] & line[1:]) | (_LETTER[raw[:-1]] & _MARK[raw[1:]])
+        begins[2 : len(raw)] |= plain[:-2] & line[1:-1] & plain[2:]
         begins[-1] = False
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(raw))
