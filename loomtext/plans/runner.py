@@ -82,7 +82,9 @@ class Pipeline:
         """All sources as one table of candidates with reasons; the kept ones are written by source."""
         c = self.config
         parts = [read_source(self.spark, s).withColumn("_min", F.lit(c.min_tokens if s.min_tokens is None else s.min_tokens)).withColumn("_lid", F.lit(s.lid)) for s in c.sources]
-        rows = bag_union(parts).withColumn("ord", F.monotonically_increasing_id())
+        #: written first, so that the numbers stay the same in all that follows
+        write_parquet(bag_union(parts).withColumn("ord", F.monotonically_increasing_id()), self.path("raw"))
+        rows = self.read("raw")
         seen = heuristic(F.col("text"))
         label = F.when(seen["is_target"], c.target).otherwise("other")
         marked = ingest_reasons(rows, label, F.when(seen["is_target"], F.lit(1.0)).otherwise(F.lit(0.0)), c.target, F.col("ord"), F.col("_min"), c.threshold, F.col("_lid"))
