@@ -125,8 +125,12 @@ def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         left = F.lower(F.regexp_extract(F.reverse(x["before"]), r"^\s+(\S+)", 1))
         right = F.lower(F.regexp_extract(x["after"], r"^\s+(\S+)", 1))
         over = F.filter("base", lambda b: (b["start"] < end) & (b["end"] > start))
+        #: a token that begins a base span stands for the whole span
+        first = F.get(over, F.lit(0))
+        seed = F.coalesce(first["start"] >= x["start"], F.lit(False))
+        whole = F.when(seed, F.substr(F.col("text"), first["start"] + 1, first["end"] - first["start"])).otherwise(value)
         return F.struct(
-            start.alias("start"), end.alias("end"), value.alias("value"), F.size(over).alias("over"), F.when(F.get(over, F.lit(0))["start"] >= x["start"], F.get(over, F.lit(0))["kind"]).alias("kind"),
+            start.alias("start"), end.alias("end"), whole.alias("value"), F.size(over).alias("over"), F.when(seed, first["kind"]).alias("kind"),
             F.filter(F.array(F.when(left != "", F.concat(F.lit("before "), left)), F.when(right != "", F.concat(F.lit("after "), right))), lambda p: p.isNotNull()).alias("patterns"),
         )
 
@@ -165,7 +169,7 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         if new.isEmpty():
             break
         known = known.unionByName(new)
-    added = tokens.where("over = 0").drop("kind").join(known, "value")
+    added = tokens.where((F.col("over") == 0) & (F.length("value") >= MIN_LENGTH)).drop("kind").join(known, "value")
     added = added.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     return docs.join(added, "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("spans"))
 
