@@ -26,8 +26,9 @@ from loomtext.llm.staging import staged
 BUCKET_BITS = 18
 #: Rows of a token's list that one task may pair; longer lists are cut into blocks.
 LIST_ROWS = 2048
-#: Bits of a set's bitmap.
+#: Bits of a set's bitmap, and of its short form that travels with the token lists.
 MAP_BITS = 2048
+FOLD_BITS = 256
 #: Passes over neighbours in the token lists before the pass over all pairs of components.
 NEAR_ROUNDS = 2
 SIGNS = ["sig_a", "sig_b", "key_a", "key_b"]
@@ -113,27 +114,28 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, size: int, percent: in
                 spread = mix(token + np.uint64(11))
                 flips = np.bincount(owner * MAP_BITS + (spread % np.uint64(MAP_BITS)).astype(np.int64), minlength=(hi - lo) * MAP_BITS)
                 maps = np.packbits((flips & 1).astype(np.uint8).reshape(hi - lo, MAP_BITS), axis=1)
-                parts.append((n, take, prefix.view(np.int64), maps, *sig))
+                folds = np.bitwise_xor.reduce(maps.reshape(hi - lo, -1, FOLD_BITS // 8), axis=1)
+                parts.append((n, take, prefix.view(np.int64), maps, folds, *sig))
             if not parts:
                 continue
-            n, take, prefix, maps, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
+            n, take, prefix, maps, folds, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(take))), pa.int32()), pa.array(prefix))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *map(pa.array, rest), _map_column(maps), lists], names=["row", "doc_id", "n", *SIGNS, "map", "prefix"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *map(pa.array, rest), _map_column(maps), _map_column(folds), lists], names=["row", "doc_id", "n", *SIGNS, "map", "fold", "prefix"])
 
     kind = docs.select(doc_id).dtypes[0][1]
     base = docs.select(_row_key(doc_id, text).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return base.mapInArrow(sets, f"row long, doc_id {kind}, n long, {', '.join(f'{c} long' for c in SIGNS)}, map binary, prefix array<long>")
+    return base.mapInArrow(sets, f"row long, doc_id {kind}, n long, {', '.join(f'{c} long' for c in SIGNS)}, map binary, fold binary, prefix array<long>")
 
 
 def _map_column(maps: np.ndarray) -> pa.Array:
     """Bitmaps, a row of bytes each, as a binary column."""
-    ends = np.arange(len(maps) + 1, dtype=np.int32) * (MAP_BITS // 8)
+    ends = np.arange(len(maps) + 1, dtype=np.int32) * maps.shape[1]
     return pa.BinaryArray.from_buffers(pa.binary(), len(maps), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(maps.tobytes())])
 
 
 def _columns(batch: pa.RecordBatch, names: list[str], maps: tuple = ("map",)) -> dict[str, np.ndarray]:
-    """Columns as arrays; bitmaps as rows of 64-bit words."""
-    return {k: buffer_of(batch.column(k))[0].view(np.uint64).reshape(-1, MAP_BITS // 64) if k in maps else batch.column(k).to_numpy(zero_copy_only=False) for k in names}
+    """Columns of a batch with rows as arrays; bitmaps as rows of 64-bit words."""
+    return {k: buffer_of(batch.column(k))[0].view(np.uint64).reshape(batch.num_rows, -1) if k in maps else batch.column(k).to_numpy(zero_copy_only=False) for k in names}
 
 
 def _passes(one: dict, i, two: dict, j, percent: int) -> np.ndarray:
@@ -156,12 +158,12 @@ def _sorted_batches(batches, names):
     """Batches joined so that no run of equal keys (the first two columns) is cut; the rows come sorted by them."""
     held = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         now = _columns(batch, names)
         if held is not None:
             now = {k: np.concatenate((held[k], now[k])) for k in names}
         key = [now[k] for k in names[:2]]
-        if not len(key[0]):
-            continue
         last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]))
         cut = int(last[-1]) + 1 if len(last) else 0
         if cut:
@@ -181,6 +183,11 @@ def _first_of_equal_lists(lists: DataFrame) -> DataFrame:
     return lists.join(whole.groupBy("often", "x", "y").agg(F.min("token").alias("token")).select("token"), "token", "left_semi")
 
 
+def _dealt(lists: DataFrame) -> DataFrame:
+    """Entries dealt by token, those of long lists by token and block."""
+    return lists.repartition("token", F.pmod(F.xxhash64("grp"), F.ceil(F.col("often") / LIST_ROWS).cast("int")))
+
+
 def _near_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
     """Of each token's list: neighbours, and each entry with the head, where labels differ and they may link.
 
@@ -191,9 +198,9 @@ def _near_pairs(lists: DataFrame, percent: int, turn: int) -> DataFrame:
     def near(batches):
         last = head = None
         for batch in batches:
-            now = _columns(batch, names)
-            if not len(now["token"]):
+            if not batch.num_rows:
                 continue
+            now = _columns(batch, names)
             start = 0 if last is None else 2
             if last is not None:
                 now = {k: np.concatenate((head[k], last[k], v)) for k, v in now.items()}
@@ -264,6 +271,8 @@ def _possible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     def test(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x = _columns(batch, ["a_n", "b_n", "a_map", "b_map"], ("a_map", "b_map"))
             sides = [{"n": x[f"{s}_n"], "map": x[f"{s}_map"], "pos": np.zeros(len(x["a_n"]), np.int64)} for s in ("a", "b")]
             every = np.arange(len(x["a_n"]))
@@ -313,7 +322,7 @@ def _labelled_lists(lists: DataFrame, labelled: DataFrame, members: DataFrame) -
     torn = parts.groupBy("grp").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("l"), F.max("label").alias("m")).where("often > 1").select("grp", "often")
     within = parts.join(torn, "grp").select(F.xxhash64(F.lit("group"), "grp").alias("token"), "n", F.lit(0).cast("long").alias("pos"), "grp", "often", "label")
     #: bitmaps tell members apart, so entries of a group with several members leave the bitmap test to their expansion
-    within = within.withColumn("map", F.lit(bytes(MAP_BITS // 8)))
+    within = within.withColumn("map", F.lit(bytes(FOLD_BITS // 8)))
     single = labelled.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
     across = lists.join(parts.select("grp", "label"), "grp").join(single, "grp")
     return across.select("token", "n", "pos", "grp", "often", "label", "map", "members").unionByName(within.withColumn("members", F.lit(2).cast("long")))
@@ -341,14 +350,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same_set = ["n", "sig_a", "sig_b"]
     classes = staged(some.groupBy(*same_set).agg(F.min("row").alias("class_id"), F.min("doc_id").alias("class_doc")), "classes")
     heads = some.join(classes.select(F.col("class_id").alias("row"), *same_set), ["row", *same_set], "left_semi")
-    members = staged(heads.select(F.col("row").alias("class_id"), "n", "key_a", "key_b", "map").distinct(), "members")
+    members = staged(heads.select(F.col("row").alias("class_id"), "n", "key_a", "key_b", "map", "fold").distinct(), "members")
     groups = members.groupBy("n", "key_a", "key_b").agg(F.min("class_id").alias("grp"))
     grouped = staged(members.select("class_id", "n", "key_a", "key_b").join(groups, ["n", "key_a", "key_b"]).select("grp", "class_id", "n"), "groups")
     leaders = some.select("row", "n", "prefix").join(grouped.where("grp = class_id").select(F.col("grp").alias("row")), "row", "left_semi").dropDuplicates(["row"])
     tokens = leaders.select(F.posexplode("prefix").alias("pos", "token"), "n", F.col("row").alias("grp")).select("token", F.col("n").cast("int").alias("n"), "pos", "grp")
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     shared = staged(tokens.join(often, "token").select("token", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), "grp", "often"), "shared")
-    lists = staged(_first_of_equal_lists(shared).join(members.select(F.col("class_id").alias("grp"), "map"), "grp"), "lists")
+    lists = _first_of_equal_lists(shared).join(members.select(F.col("class_id").alias("grp"), F.col("fold").alias("map")), "grp")
+    lists = staged(_dealt(lists), "lists")
 
     texts = docs.select(_row_key(doc_id, text).alias("row"), F.col(text).alias("text"))
     #: classes of one group are tried with its head first
@@ -356,7 +366,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links, labelled = None, grouped.withColumn("label", F.col("class_id"))
     for turn in range(NEAR_ROUNDS):
         heads = labelled.where("grp = class_id").select("grp", "label")
-        near = _near_pairs(lists.join(heads, "grp").repartition("token", F.pmod(F.xxhash64("grp"), F.ceil(F.col("often") / LIST_ROWS).cast("int"))), percent, turn).unionByName(tried).distinct()
+        entries = _dealt(lists.join(heads, "grp")) if turn else lists.withColumn("label", F.col("grp"))
+        near = _near_pairs(entries, percent, turn).unionByName(tried).distinct()
         found = _verified(staged(_possible(near, members, percent), "pairs"), texts, size, percent)
         links = staged(found if links is None else links.unionByName(found), "links")
         labels = components(links).withColumnRenamed("node", "class_id")
