@@ -93,7 +93,11 @@ def find_windows(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 
 
 def contamination(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
-    """(row, doc_id, n_words, n_hit, items): words inside any occurring window and the sorted ids, as strings, of the items."""
+    """(row, doc_id, n_words, n_hit, items): words inside any occurring window and the sorted ids, as strings, of the items.
+
+    A row for each document: null and empty texts have no words and no hits, and rows that repeat an id stay apart. An
+    empty table of documents gives an empty result, an empty one of items no hits; other columns are ignored.
+    """
     ends, hits = find_windows(docs, items, **names)
     spans = hits.select("row", "start", (F.col("start") + F.col("size")).alias("end")).distinct().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     zero = F.struct(F.lit(0).alias("upto"), F.lit(0).cast("long").alias("n"))

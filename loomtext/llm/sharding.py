@@ -56,7 +56,9 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
         F.crc32(F.coalesce(F.col("t"), F.lit("")).cast("binary")).alias("text_crc32"),
         jump_walk(F.col("k"), shards).alias("walk"),
         F.pmod(F.xxhash64("k", "t"), F.lit(groups)).cast("int").alias("part"),
-    ).select("k", "size", "text_crc32", "part", F.col("walk.last").cast("int").alias("shard"), F.when(F.col("walk.next") == shards, F.lit(shards)).otherwise(F.col("walk.last")).cast("int").alias("grown_shard"))
+    )
+    grown = F.when(F.col("walk.next") == shards, F.lit(shards)).otherwise(F.col("walk.last"))
+    rows = rows.select("k", "size", "text_crc32", "part", F.col("walk.last").cast("int").alias("shard"), grown.cast("int").alias("grown_shard"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("shard", "part").orderBy("k", "text_crc32", "size")
