@@ -103,6 +103,23 @@ def keyed_enrich_merge(spark, sf_dir):
     return merge.keyed_enrich(base, extra, "doc_id", "o", ["quality"]).select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"))
 
 
+@query()
+def keyed_append_merge_whole(spark, sf_dir):
+    """keyed_append_merge of all labels and all documents; rows that repeat a doc_id go by their values."""
+    old = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.struct("quality", "toxic").alias("o"))
+    new = table(spark, sf_dir, "documents").select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"))
+    return merge.keyed_append(old, new.withColumn("o", F.struct("quality", "toxic")), "doc_id", "o").drop("o")
+
+
+@query()
+def keyed_enrich_merge_whole(spark, sf_dir):
+    """keyed_enrich_merge of all documents with all labels; rows that repeat a doc_id go by their values."""
+    base = table(spark, sf_dir, "documents").select("doc_id", "lang", F.lit(-1).alias("quality"), F.col("lang").alias("o"))
+    extra = table(spark, sf_dir, "labels").select("doc_id", "quality", F.col("quality").cast("string").alias("o"))
+    both = merge.keyed_enrich(base, extra, "doc_id", "o", ["quality"])
+    return both.select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"))
+
+
 # --- extraction and filters --------------------------------------------------------------------------------------------
 
 _MARKED = rf"""
@@ -457,6 +474,14 @@ def source_language_join(spark, sf_dir):
     return stats.sources_with_language(stats.stats_by_source(rows), lid).select("source", "examples", "evaluated")
 
 
+@query()
+def source_language_join_whole(spark, sf_dir):
+    """source_language_join with every document evaluated."""
+    rows = corpus(spark, sf_dir)
+    lid = stats.language_share(rows.withColumn("conf", F.lit(1.0)), "lang", "conf", "en", "source").select("source", "evaluated")
+    return stats.sources_with_language(stats.stats_by_source(rows), lid).select("source", "examples", "evaluated")
+
+
 @query("SELECT count(*) FILTER (coalesce(value, 0) > 10) AS n_available, CAST(coalesce(sum(CAST(floor(value) AS BIGINT)) FILTER (coalesce(value, 0) > 10), 0) AS BIGINT) AS seconds, count(*) FILTER (NOT coalesce(value, 0) > 10) AS n_missing FROM events")
 def video_durations(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.floor("value").alias("duration_seconds"), (F.col("value") > 10).alias("available"))
