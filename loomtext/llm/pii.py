@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Regular expressions give the base spans, which are also the seed entities. Every identifier-like token (one with a digit
-or an at sign) is an instance with lexical patterns: the word before it and the word after it. On the graph of patterns
+Regular expressions give the base spans, which are also the seed entities. Every run of numbers with separators and single
+spaces, and every other token with a digit or an at sign, is an instance with lexical patterns: the word before it and the
+word after it. Base spans inside a run are instances of their own, as is what they leave of it. On the graph of patterns
 and instances, a pattern scores by the share of its distinct instances that are known to be of one kind, and an unseen
 instance by the patterns that point to it; a few rounds later the confident instances are further spans.
 """
@@ -25,7 +26,11 @@ PATTERNS = {
 #: A cheap sign that a text may hold a match.
 SIGNS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: A run of numbers, parted by single spaces and with marks around it, or else a token with a digit or an at sign.
+MARKS, NUMBER = r"[^\p{L}\p{N}\s@]*+", r"[0-9][0-9().+/-]*+"
+TOKEN = rf"(?<!\S)(?:{MARKS}{NUMBER}(?: [(+]*+{NUMBER}(?={MARKS}(?!\S)))*+{MARKS}(?!\S)|[^\s0-9@]*+[0-9@]\S*+)"
+#: Marks before an instance, but for a parenthesis around the first digits of more.
+LEADING = r"^(?:(?!\([0-9]++\)[ .-]?[0-9])[^\p{L}\p{N}+])++"
 
 #: Rounds over the graph; least support and share of a pattern; least confidence and length of a new instance.
 ROUNDS = 3
@@ -107,7 +112,7 @@ def count_of(spans: str, number: int) -> Column:
 
 
 def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(row, doc_id, base, tokens): the base spans by start and kind, and the identifier-like tokens with their words."""
+    """(row, doc_id, base, tokens): the base spans by start and kind, and the identifier-like instances with their words."""
     df = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kinds = []
     for k, kind in enumerate(KINDS):
@@ -116,25 +121,36 @@ def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     df = df.withColumn("base", F.array_sort(F.concat(*kinds))).drop(*KINDS)
     df = _located(df, "text", TOKEN, "tokens", "[0-9@]")
 
-    def instance(x):
-        bare = F.regexp_replace(x["found"], r"^[^\p{L}\p{N}+]++", "")
-        cut = F.length(x["found"]) - F.length(bare)
-        value = F.reverse(F.regexp_replace(F.reverse(bare), r"^[^\p{L}\p{N}]++", ""))
-        start = x["start"] + cut
-        end = start + F.length(value)
-        left = F.lower(F.regexp_extract(F.reverse(x["before"]), r"^\s+(\S+)", 1))
-        right = F.lower(F.regexp_extract(x["after"], r"^\s+(\S+)", 1))
-        over = F.filter("base", lambda b: (b["start"] < end) & (b["end"] > start))
-        #: a token that begins a base span stands for the whole span
-        first = F.get(over, F.lit(0))
-        seed = F.coalesce(first["start"] >= x["start"], F.lit(False))
-        whole = F.when(seed, F.substr(F.col("text"), first["start"] + 1, first["end"] - first["start"])).otherwise(value)
-        return F.struct(
-            start.alias("start"), end.alias("end"), whole.alias("value"), F.size(over).alias("over"), F.when(seed, first["kind"]).alias("kind"),
-            F.filter(F.array(F.when(left != "", F.concat(F.lit("before "), left)), F.when(right != "", F.concat(F.lit("after "), right))), lambda p: p.isNotNull()).alias("patterns"),
-        )
-
-    return df.select("row", "doc_id", "base", F.transform("tokens", instance).alias("tokens"))
+    def placed(x, z):
+        """An instance with the words around it, where no other instance of its run parts them from it."""
+        lo, hi = z["start"], z["end"]
+        last = F.when(hi > x["end"], F.get(F.filter("tokens", lambda t: (t["start"] < hi) & (t["end"] >= hi)), F.lit(0)))
+        ends = F.coalesce(last, x)
+        apart = F.substr(ends["found"], hi - ends["start"] + 1).rlike(r"\s")
+        left = F.when(F.substr(x["found"], F.lit(1), lo - x["start"]).rlike(r"\s"), "").otherwise(F.lower(F.regexp_extract(F.reverse(x["before"]), r"^\s+(\S+)", 1)))
+        right = F.when(apart, "").otherwise(F.lower(F.regexp_extract(ends["after"], r"^\s+(\S+)", 1)))
+        words = F.array(F.when(left != "", F.concat(F.lit("before "), left)), F.when(right != "", F.concat(F.lit("after "), right)))
+        return F.struct(lo.alias("start"), hi.alias("end"), z["value"].alias("value"), z["over"].alias("over"), z["kind"].alias("kind"), F.filter(words, lambda p: p.isNotNull()).alias("patterns"))
+
+    def instances(x):
+        """Base spans that begin in a match, and what stands between white space and them, or the whole match."""
+        over = x["over"]
+        made = lambda lo, hi, value, n, kind: F.struct(lo.alias("start"), hi.alias("end"), value.alias("value"), F.lit(n).alias("over"), kind.alias("kind"))
+        own = F.filter(over, lambda b: b["start"] >= x["start"])
+        seeds = F.transform(own, lambda b: made(b["start"], b["end"], F.substr(F.col("text"), b["start"] + 1, b["end"] - b["start"]), 1, b["kind"]))
+        upto = lambda i: F.coalesce(F.array_max(F.transform(F.slice(over, 1, i), lambda b: b["end"])), x["start"])
+        count = F.when(F.size(over) == 0, 0).when(x["found"].rlike(r"\s"), F.size(over)).otherwise(-1)
+        gaps = F.transform(F.when(count >= 0, F.sequence(F.lit(0), count)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(i.alias("i"), F.greatest(x["start"], upto(i)).alias("lo"), F.least(x["end"], F.coalesce(F.get(over, i)["start"], x["end"])).alias("hi")))
+        given = F.transform(F.filter(gaps, lambda g: g["hi"] > g["lo"]), lambda g: F.struct(g["i"].alias("i"), g["hi"].alias("hi"), F.substr(x["found"], g["lo"] - x["start"] + 1, g["hi"] - g["lo"]).alias("text")))
+        apart = F.transform(given, lambda g: F.struct(g["i"].alias("i"), g["hi"].alias("hi"), F.regexp_replace(F.when(g["i"] > 0, F.regexp_replace(g["text"], r"^\S++", "")).otherwise(g["text"]), LEADING, "").alias("text")))
+        back = F.transform(apart, lambda g: F.struct((g["hi"] - F.length(g["text"])).alias("lo"), F.when(g["i"] < F.size(over), F.regexp_replace(F.reverse(g["text"]), r"^\S++", "")).otherwise(F.reverse(g["text"])).alias("text")))
+        values = F.transform(back, lambda g: F.struct(g["lo"].alias("lo"), F.reverse(F.regexp_replace(g["text"], r"^[^\p{L}\p{N}]++", "")).alias("value")))
+        free = F.transform(F.filter(values, lambda v: v["value"].rlike("[0-9@]")), lambda v: made(v["lo"], v["lo"] + F.length(v["value"]), v["value"], 0, F.lit(None).cast("int")))
+        return F.transform(F.concat(seeds, free), lambda z: placed(x, z))
+
+    over = lambda x: F.filter("base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
+    df = df.withColumn("tokens", F.transform("tokens", lambda x: x.withField("over", over(x))))
+    return df.select("row", "doc_id", "base", F.flatten(F.transform("tokens", instances)).alias("tokens"))
 
 
 def _known(instances: DataFrame, edges: DataFrame) -> DataFrame:

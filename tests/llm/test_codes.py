@@ -243,3 +243,20 @@ def test_pipeline_stages(spark, tmp_path):
     out = pipeline.run(spark, str(tmp_path)).collect()
     assert out and all(r.round_trip and r.n_tokens == len(r.ids) for r in out)
     assert not {62, 63, 64} & {r.doc_id for r in out}
+
+
+def found_in(spark, texts):
+    """The parts of each text that personal_data() finds, with their kinds."""
+    rows = pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return {r.doc_id: [(texts[r.doc_id][x.start : x.end], x.kind) for x in r.spans] for r in rows}
+
+
+def test_context_finds_spaced_identifiers(spark):
+    phones = [f"please call +1 (743) 555-{3000 + k} today" for k in range(40)]
+    cards = [f"card 4111 1111 1111 {c} expires" for c in range(1000, 1400) if luhn(f"411111111111{c}")]
+    texts = phones + cards + ["you may call (743) 555-3824, then", "seen: (212) 555-1188 today", "my card 5222 3333 4444 5556 is", "the 5222 3333 4444 5557 expires", "call (743) 555-3825 1.2.3.4 x", "room 12 34 5678 9 here"]
+    got = found_in(spark, texts)
+    assert all(len(got[k]) == 1 for k in range(len(phones) + len(cards)))
+    n = len(phones) + len(cards)
+    assert not luhn("5222333344445556") and not luhn("5222333344445557")
+    assert [got[n + k] for k in range(6)] == [[("(743) 555-3824", 3)], [("(212) 555-1188", 3)], [("5222 3333 4444 5556", 2)], [("5222 3333 4444 5557", 2)], [("(743) 555-3825", 3), ("1.2.3.4", 1)], []]
