@@ -4,11 +4,13 @@ Regular expressions give the base spans, which are also the seed entities. Every
 spaces, and every other token with a digit or an at sign, is an instance with lexical patterns: the word before it and the
 word after it. Base spans inside a run are instances of their own, as is what they leave of it. On the graph of patterns
 and instances, a pattern scores by the share of its distinct instances that are known to be of one kind, and an unseen
-instance by the patterns that point to it; a few rounds later the confident instances are further spans.
+instance by the patterns that point to it; once a round finds none, the confident instances are further spans.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +31,17 @@ PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: A run of numbers, parted by single spaces and with marks around it, or else a token with a digit or an at sign.
 MARKS, NUMBER = r"[^\p{L}\p{N}\s@]*+", r"[0-9][0-9().+/-]*+"
 TOKEN = rf"(?<!\S)(?:{MARKS}{NUMBER}(?: [(+]*+{NUMBER}(?={MARKS}(?!\S)))*+{MARKS}(?!\S)|[^\s0-9@]*+[0-9@]\S*+)"
+WORD = r"^\s++(\S++)"
 #: Marks before an instance, but for a parenthesis around the first digits of more.
 LEADING = r"^(?:(?!\([0-9]++\)[ .-]?[0-9])[^\p{L}\p{N}+])++"
 
-#: Rounds over the graph; least support and share of a pattern; least confidence and length of a new instance.
-ROUNDS = 3
+#: Least support and share of a pattern; least confidence and length of a new instance.
 MIN_SUPPORT = 5
 MIN_SHARE = 0.8
 MIN_CONFIDENCE = 0.8
 MIN_LENGTH = 6
-#: Characters to each side of a token in which its neighbouring word is looked for.
-CONTEXT = 64
+#: Rounds over the graph after which the known instances are written as one table.
+FOLD = 8
 _BLOCK = 256
 
 
@@ -56,10 +58,10 @@ def _running(steps: Column) -> Column:
     return F.flatten(F.transform(F.arrays_zip(blocks.alias("part"), fold(sums, F.lit(0)).alias("start")), lambda z: fold(z["part"], z["start"])))
 
 
-def _located(df: DataFrame, text: str, pattern: str, out: str, sign: str | None = None) -> DataFrame:
-    """Adds ``out``: array<struct<start, end, found, before, after>> of the matches; positions count code points.
+def _located(df: DataFrame, text: str, pattern: str, out: str, sign: str | None = None, words: bool = False) -> DataFrame:
+    """Adds ``out``: array<struct<start, end, found>> of the matches, with ``words`` also before and after; positions count code points.
 
-    before and after are the texts up to the neighbouring matches, at most CONTEXT characters of each.
+    before (reversed) and after are the words next to a match, empty where another match stands there.
     """
     given = F.col(text)
     may = F.contains(given, F.lit(sign)) if sign == "@" else given.rlike(sign) if sign else F.lit(True)
@@ -72,7 +74,7 @@ def _located(df: DataFrame, text: str, pattern: str, out: str, sign: str | None
         "_found",
         lambda x, i: F.struct(
             (F.get("_before", i) + F.length(F.get("_gaps", i))).alias("start"), (F.get("_before", i) + F.get("_steps", i)).alias("end"), x.alias("found"),
-            F.right(F.get("_gaps", i), F.lit(CONTEXT)).alias("before"), F.left(F.get("_gaps", i + 1), F.lit(CONTEXT)).alias("after"),
+            *([F.lower(F.regexp_extract(F.reverse(F.get("_gaps", i)), WORD, 1)).alias("before"), F.lower(F.regexp_extract(F.get("_gaps", i + 1), WORD, 1)).alias("after")] if words else []),
         ),
     )
     return df.withColumn(out, spans).drop("_found", "_gaps", "_steps", "_before")
@@ -119,7 +121,7 @@ def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         df = _located(df, "text", PATTERNS[kind], kind, SIGNS[kind])
         kinds.append(_kept(kind, k))
     df = df.withColumn("base", F.array_sort(F.concat(*kinds))).drop(*KINDS)
-    df = _located(df, "text", TOKEN, "tokens", "[0-9@]")
+    df = _located(df, "text", TOKEN, "tokens", "[0-9@]", words=True)
 
     def placed(x, z):
         """An instance with the words around it, where no other instance of its run parts them from it."""
@@ -127,8 +129,8 @@ def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         last = F.when(hi > x["end"], F.get(F.filter("tokens", lambda t: (t["start"] < hi) & (t["end"] >= hi)), F.lit(0)))
         ends = F.coalesce(last, x)
         apart = F.substr(ends["found"], hi - ends["start"] + 1).rlike(r"\s")
-        left = F.when(F.substr(x["found"], F.lit(1), lo - x["start"]).rlike(r"\s"), "").otherwise(F.lower(F.regexp_extract(F.reverse(x["before"]), r"^\s+(\S+)", 1)))
-        right = F.when(apart, "").otherwise(F.lower(F.regexp_extract(ends["after"], r"^\s+(\S+)", 1)))
+        left = F.when(F.substr(x["found"], F.lit(1), lo - x["start"]).rlike(r"\s"), "").otherwise(x["before"])
+        right = F.when(apart, "").otherwise(ends["after"])
         words = F.array(F.when(left != "", F.concat(F.lit("before "), left)), F.when(right != "", F.concat(F.lit("after "), right)))
         return F.struct(lo.alias("start"), hi.alias("end"), z["value"].alias("value"), z["over"].alias("over"), z["kind"].alias("kind"), F.filter(words, lambda p: p.isNotNull()).alias("patterns"))
 
@@ -139,8 +141,8 @@ def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         own = F.filter(over, lambda b: b["start"] >= x["start"])
         seeds = F.transform(own, lambda b: made(b["start"], b["end"], F.substr(F.col("text"), b["start"] + 1, b["end"] - b["start"]), 1, b["kind"]))
         upto = lambda i: F.coalesce(F.array_max(F.transform(F.slice(over, 1, i), lambda b: b["end"])), x["start"])
-        count = F.when(F.size(over) == 0, 0).when(x["found"].rlike(r"\s"), F.size(over)).otherwise(-1)
-        gaps = F.transform(F.when(count >= 0, F.sequence(F.lit(0), count)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(i.alias("i"), F.greatest(x["start"], upto(i)).alias("lo"), F.least(x["end"], F.coalesce(F.get(over, i)["start"], x["end"])).alias("hi")))
+        last = F.when(F.size(over) == 0, 0).when(x["found"].rlike(r"\s"), F.size(over)).otherwise(-1)
+        gaps = F.transform(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(i.alias("i"), F.greatest(x["start"], upto(i)).alias("lo"), F.least(x["end"], F.coalesce(F.get(over, i)["start"], x["end"])).alias("hi")))
         given = F.transform(F.filter(gaps, lambda g: g["hi"] > g["lo"]), lambda g: F.struct(g["i"].alias("i"), g["hi"].alias("hi"), F.substr(x["found"], g["lo"] - x["start"] + 1, g["hi"] - g["lo"]).alias("text")))
         apart = F.transform(given, lambda g: F.struct(g["i"].alias("i"), g["hi"].alias("hi"), F.regexp_replace(F.when(g["i"] > 0, F.regexp_replace(g["text"], r"^\S++", "")).otherwise(g["text"]), LEADING, "").alias("text")))
         back = F.transform(apart, lambda g: F.struct((g["hi"] - F.length(g["text"])).alias("lo"), F.when(g["i"] < F.size(over), F.regexp_replace(F.reverse(g["text"]), r"^\S++", "")).otherwise(F.reverse(g["text"])).alias("text")))
@@ -180,11 +182,12 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     edges = staged(free.select("value", F.explode("patterns").alias("pattern")).distinct(), "edges")
     seeds = tokens.where("kind is not null").groupBy("value").agg(F.min("kind").alias("kind")).withColumn("confidence", F.lit(1.0))
     known = staged(seeds, "instances")
-    for _ in range(ROUNDS):
+    for n in count(1):
         new = staged(_known(known, edges), "instances")
         if new.isEmpty():
             break
         known = known.unionByName(new)
+        known = staged(known, "instances") if n % FOLD == 0 else known
     added = tokens.where((F.col("over") == 0) & (F.length("value") >= MIN_LENGTH)).drop("kind").join(known, "value")
     added = added.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     return docs.join(added, "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("spans"))

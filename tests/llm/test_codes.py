@@ -260,3 +260,19 @@ def test_context_finds_spaced_identifiers(spark):
     n = len(phones) + len(cards)
     assert not luhn("5222333344445556") and not luhn("5222333344445557")
     assert [got[n + k] for k in range(6)] == [[("(743) 555-3824", 3)], [("(212) 555-1188", 3)], [("5222 3333 4444 5556", 2)], [("5222 3333 4444 5557", 2)], [("(743) 555-3825", 3), ("1.2.3.4", 1)], []]
+
+
+def test_rounds_go_on_until_nothing_is_new(spark):
+    sizes, words = [1296, 216, 36, 6, 1], ["wa", "wb", "wc", "wd"]
+    item = lambda level, k: f"user{k}@mail{level}.example.com" if level == 0 else f"user{k}[at]mail{level}.example"
+    texts = [f"one {words[c]} {item(level, k)} {words[c]} more" for level, n in enumerate(sizes) for c in {max(level - 1, 0), min(level, 3)} for k in range(n)]
+    got = found_in(spark, texts)
+    assert all(len(got[k]) == 1 for k in range(len(texts)))
+
+
+def test_neighbouring_words_are_whole(spark):
+    tail = "y" * 70
+    texts = [f"some words mailto{' ' * (k % 90 + 1)}user{k}@mail.example.com more" for k in range(40)] + [f"long ab{tail} user{k}@mail.example.com" for k in range(40, 80)]
+    texts += [f"see mailto{' ' * 80}user77[at]mail.example now", f"see cd{tail} user78[at]mail.example now", f"see ab{tail} user79[at]mail.example now"]
+    got = found_in(spark, texts)
+    assert [got[k] for k in (80, 81, 82)] == [[("user77[at]mail.example", 0)], [], [("user79[at]mail.example", 0)]]
