@@ -36,3 +36,10 @@ def test_a_source_without_evaluation_stays(spark):
     by_source = spark.createDataFrame([("a", 2), ("b", 1)], "source string, examples long")
     seen = spark.createDataFrame([("a", 2), ("c", 5)], "source string, evaluated long")
     assert sorted(tuple(r) for r in stats.sources_with_language(by_source, seen).collect()) == [("a", 2, 2), ("b", 1, None)]
+
+
+def test_wer_of_every_turn(spark, tmp_path):
+    turns = [(1, 0, "user", "one two three"), (1, 1, "assistant", "four five"), (2, 0, "system", ""), (2, 1, None, "six")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.turn): r.wer for r in catalog.queries()["wer"](spark, str(tmp_path)).collect()}
+    assert set(got) == {(1, 0), (1, 1), (2, 0), (2, 1)} and got[2, 0] == 0.0
