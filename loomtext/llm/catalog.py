@@ -60,11 +60,11 @@ def op4_quality(spark, sf_dir):
 
 def op5_pii(spark, sf_dir):
     """Personal data in all documents."""
-    from loomtext.llm.pii import KINDS, count_of, personal_data, span_text
+    from loomtext.llm.pii import KINDS, SECRET, count_of, personal_data, span_text
 
     found = personal_data(table(spark, sf_dir, "documents"))
     counts = [count_of("base", k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return found.select("doc_id", *counts, F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(span_text("base").cast("binary"), 256).alias("base_sha256"), span_text("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"), count_of("spans", SECRET).alias("n_secret"))
 
 
 def op6_jaccard_join(spark, sf_dir):

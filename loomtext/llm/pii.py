@@ -1,10 +1,12 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Regular expressions give the base spans, which are also the seed entities. Every run of numbers with separators and single
-spaces, and every other token with a digit or an at sign, is an instance with lexical patterns: the word before it and the
-word after it. Base spans inside a run are instances of their own, as is what they leave of it. On the graph of patterns
-and instances, a pattern scores by the share of its distinct instances that are known to be of one kind, and an unseen
-instance by the patterns that point to it; once a round finds none, the confident instances are further spans.
+Regular expressions give the base spans, which are also the seed entities. With these masked, every run of numbers with
+separators and single spaces, and every other token with a digit or an at sign, is an instance. Instances and seeds have
+lexical patterns: the word before, the two words before, the word after, and for numbers with separators their shape,
+whole or without its first part. On the graph of patterns and instances, a pattern scores by the share of its distinct
+instances that are known to be of one kind, and an unseen instance by the patterns that point to it; once a round finds
+none, the confident instances are further spans. A kind of its own are secrets: values assigned to a name such as token
+seed it, and they are never base spans.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from loomtext.llm.staging import staged
 #: Kinds in reporting order, with patterns that find the leftmost non-overlapping matches in linear time: possessive
 #: repeats, and no start inside a run of characters whose first start has failed (\G: right after a match).
 KINDS = ("email", "ip", "card", "phone")
+#: All kinds: those of base spans, then those that only the method gives.
+ALL_KINDS = (*KINDS, "secret")
+SECRET = ALL_KINDS.index("secret")
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -31,17 +36,28 @@ PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: A run of numbers, parted by single spaces and with marks around it, or else a token with a digit or an at sign.
 MARKS, NUMBER = r"[^\p{L}\p{N}\s@]*+", r"[0-9][0-9().+/-]*+"
 TOKEN = rf"(?<!\S)(?:{MARKS}{NUMBER}(?: [(+]*+{NUMBER}(?={MARKS}(?!\S)))*+{MARKS}(?!\S)|[^\s0-9@]*+[0-9@]\S*+)"
-WORD = r"^\s++(\S++)"
-#: Marks before an instance, but for a parenthesis around the first digits of more.
+#: Up to two words next to a match.
+WORDS = r"^\s++(\S++)(?:\s++(\S++))?"
+#: A word that can be a pattern: nothing of an identifier, nor of what a mask hides.
+MASK = "\ue000"
+LEXICAL = rf"^[^0-9@{MASK}]++$"
+#: Marks before an instance, but for a parenthesis around the first digits of more; marks after it.
 LEADING = r"^(?:(?!\([0-9]++\)[ .-]?[0-9])[^\p{L}\p{N}+])++"
+TRAILING = r"[^\p{L}\p{N}]++$"
+#: Numbers with separators have a shape, their digits as 9, from this many digits on.
+SHAPED, SHAPE_DIGITS = r"^[0-9 ().+/-]*[0-9][ ().+/-]++[0-9][0-9 ().+/-]*$", 7
+#: What assigns a secret, as the two words before it, and what is one.
+ASSIGNS = r"(?:^|[^a-z])(?:token|secret|passw(?:or)?d|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key)s?[\"']? ?:?=+$"
+SECRET_VALUE = r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])\S{16,}$"
 
 #: Least support and share of a pattern; least confidence and length of a new instance.
 MIN_SUPPORT = 5
 MIN_SHARE = 0.8
 MIN_CONFIDENCE = 0.8
 MIN_LENGTH = 6
-#: Rounds over the graph after which the known instances are written as one table.
+#: Rounds over the graph after which the known instances are written as one table, and rows of one of its files.
 FOLD = 8
+GRAPH_FILE_ROWS = 500_000
 _BLOCK = 256
 
 
@@ -58,26 +74,45 @@ def _running(steps: Column) -> Column:
     return F.flatten(F.transform(F.arrays_zip(blocks.alias("part"), fold(sums, F.lit(0)).alias("start")), lambda z: fold(z["part"], z["start"])))
 
 
-def _located(df: DataFrame, text: str, pattern: str, out: str, sign: str | None = None, words: bool = False) -> DataFrame:
-    """Adds ``out``: array<struct<start, end, found>> of the matches, with ``words`` also before and after; positions count code points.
+def _pick(text: str, pattern: str, sign: str | None) -> Column:
+    """The matches of ``pattern`` as they stand; none without its sign."""
+    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    if sign is None:
+        return found
+    may = F.contains(F.col(text), F.lit(sign)) if sign == "@" else F.col(text).rlike(sign)
+    return F.when(may, found).otherwise(F.array().cast("array<string>"))
 
-    before (reversed) and after are the words next to a match, empty where another match stands there.
+
+def _located(df: DataFrame, text: str, pattern: str, out: str, sign: str | None = None) -> DataFrame:
+    """Adds ``out``: array<struct<start, end, found, b1, b2, a1>> of the matches; positions count code points.
+
+    b1 and b2 are the nearest and the next word before a match, a1 that after it, in lower case; empty where another match
+    of the pattern stands there.
     """
-    given = F.col(text)
-    may = F.contains(given, F.lit(sign)) if sign == "@" else given.rlike(sign) if sign else F.lit(True)
-    pick = lambda x: F.when(may, x).otherwise(F.array().cast("array<string>"))
-    df = df.withColumn("_found", pick(F.regexp_extract_all(given, F.lit(pattern), F.lit(0))))
-    df = df.withColumn("_gaps", F.when(F.size("_found") > 0, F.split(given, pattern, -1)))
+    df = df.withColumn("_found", _pick(text, pattern, sign))
+    df = df.withColumn("_gaps", F.when(F.size("_found") > 0, F.split(F.col(text), pattern, -1)))
     df = df.withColumn("_steps", F.transform("_found", lambda x, i: F.length(x) + F.length(F.get("_gaps", i))))
     df = df.withColumn("_before", F.when(F.size("_found") > 0, _running(F.col("_steps"))))
+    df = df.withColumn("_ahead", F.transform("_gaps", lambda g: F.reverse(g)))
+    word = lambda gap, n: F.lower(F.regexp_extract(gap, WORDS, n))
     spans = F.transform(
         "_found",
         lambda x, i: F.struct(
             (F.get("_before", i) + F.length(F.get("_gaps", i))).alias("start"), (F.get("_before", i) + F.get("_steps", i)).alias("end"), x.alias("found"),
-            *([F.lower(F.regexp_extract(F.reverse(F.get("_gaps", i)), WORD, 1)).alias("before"), F.lower(F.regexp_extract(F.get("_gaps", i + 1), WORD, 1)).alias("after")] if words else []),
+            F.reverse(word(F.get("_ahead", i), 1)).alias("b1"), F.reverse(word(F.get("_ahead", i), 2)).alias("b2"), word(F.get("_gaps", i + 1), 1).alias("a1"),
         ),
     )
-    return df.withColumn(out, spans).drop("_found", "_gaps", "_steps", "_before")
+    return df.withColumn(out, spans).drop("_found", "_gaps", "_steps", "_before", "_ahead")
+
+
+def _masked(df: DataFrame, text: str, kind: str) -> DataFrame:
+    """``df`` with the valid matches of a kind in ``text`` overwritten by as many mask characters."""
+    df = df.withColumn("_found", _pick(text, PATTERNS[kind], SIGNS[kind]))
+    df = df.withColumn("_gaps", F.when(F.size("_found") > 0, F.split(F.col(text), PATTERNS[kind], -1)))
+    hidden = lambda x: F.when(_valid(kind, x), F.repeat(F.lit(MASK), F.length(x))).otherwise(x)
+    df = df.withColumn("_found", F.transform("_found", hidden))
+    whole = F.array_join(F.zip_with("_gaps", "_found", lambda g, x: F.concat(g, F.coalesce(x, F.lit("")))), "")
+    return df.withColumn(text, F.coalesce(whole, F.col(text))).drop("_found", "_gaps")
 
 
 def _luhn(digits: Column) -> Column:
@@ -103,9 +138,27 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _kept(kind: str, number: int) -> Column:
-    good = F.filter(kind, lambda x: _valid(kind, x["found"]))
-    return F.transform(good, lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end")))
+def _valid_ones(kind: str) -> Column:
+    return F.filter(kind, lambda x: _valid(kind, x["found"]))
+
+
+def _numbered(number: int) -> Column:
+    """The spans of a kind, with its number."""
+    return F.transform(KINDS[number], lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end")))
+
+
+def _patterns(value: Column, b1: Column, b2: Column, a1: Column) -> Column:
+    """The lexical patterns of an instance."""
+    fit = lambda w: w.rlike(LEXICAL)
+    shaped = value.rlike(SHAPED) & (F.length(F.regexp_replace(value, "[^0-9]", "")) >= SHAPE_DIGITS)
+    shape = F.regexp_replace(value, "[0-9]", "9")
+    rest = F.regexp_replace(shape, r"^\S+ ", "")
+    every = F.array(
+        F.when(fit(b1), F.concat(F.lit("before "), b1)), F.when(fit(b1) & fit(b2), F.concat(F.lit("before "), b2, F.lit(" "), b1)),
+        F.when(fit(a1), F.concat(F.lit("after "), a1)), F.when(shaped, F.concat(F.lit("shape "), shape)),
+        F.when(shaped & (rest != shape) & (F.length(F.regexp_replace(rest, "[^9]", "")) >= SHAPE_DIGITS) & rest.rlike("9[^9]+9"), F.concat(F.lit("shape "), rest)),
+    )
+    return F.filter(every, lambda p: p.isNotNull())
 
 
 def count_of(spans: str, number: int) -> Column:
@@ -114,57 +167,43 @@ def count_of(spans: str, number: int) -> Column:
 
 
 def base_spans(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(row, doc_id, base, tokens): the base spans by start and kind, and the identifier-like instances with their words."""
-    df = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kinds = []
-    for k, kind in enumerate(KINDS):
-        df = _located(df, "text", PATTERNS[kind], kind, SIGNS[kind])
-        kinds.append(_kept(kind, k))
-    df = df.withColumn("base", F.array_sort(F.concat(*kinds))).drop(*KINDS)
-    df = _located(df, "text", TOKEN, "tokens", "[0-9@]", words=True)
-
-    def placed(x, z):
-        """An instance with the words around it, where no other instance of its run parts them from it."""
-        lo, hi = z["start"], z["end"]
-        last = F.when(hi > x["end"], F.get(F.filter("tokens", lambda t: (t["start"] < hi) & (t["end"] >= hi)), F.lit(0)))
-        ends = F.coalesce(last, x)
-        apart = F.substr(ends["found"], hi - ends["start"] + 1).rlike(r"\s")
-        left = F.when(F.substr(x["found"], F.lit(1), lo - x["start"]).rlike(r"\s"), "").otherwise(x["before"])
-        right = F.when(apart, "").otherwise(ends["after"])
-        words = F.array(F.when(left != "", F.concat(F.lit("before "), left)), F.when(right != "", F.concat(F.lit("after "), right)))
-        return F.struct(lo.alias("start"), hi.alias("end"), z["value"].alias("value"), z["over"].alias("over"), z["kind"].alias("kind"), F.filter(words, lambda p: p.isNotNull()).alias("patterns"))
-
-    def instances(x):
-        """Base spans that begin in a match, and what stands between white space and them, or the whole match."""
-        over = x["over"]
-        made = lambda lo, hi, value, n, kind: F.struct(lo.alias("start"), hi.alias("end"), value.alias("value"), F.lit(n).alias("over"), kind.alias("kind"))
-        own = F.filter(over, lambda b: b["start"] >= x["start"])
-        seeds = F.transform(own, lambda b: made(b["start"], b["end"], F.substr(F.col("text"), b["start"] + 1, b["end"] - b["start"]), 1, b["kind"]))
-        upto = lambda i: F.coalesce(F.array_max(F.transform(F.slice(over, 1, i), lambda b: b["end"])), x["start"])
-        last = F.when(F.size(over) == 0, 0).when(x["found"].rlike(r"\s"), F.size(over)).otherwise(-1)
-        gaps = F.transform(F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(i.alias("i"), F.greatest(x["start"], upto(i)).alias("lo"), F.least(x["end"], F.coalesce(F.get(over, i)["start"], x["end"])).alias("hi")))
-        given = F.transform(F.filter(gaps, lambda g: g["hi"] > g["lo"]), lambda g: F.struct(g["i"].alias("i"), g["hi"].alias("hi"), F.substr(x["found"], g["lo"] - x["start"] + 1, g["hi"] - g["lo"]).alias("text")))
-        apart = F.transform(given, lambda g: F.struct(g["i"].alias("i"), g["hi"].alias("hi"), F.regexp_replace(F.when(g["i"] > 0, F.regexp_replace(g["text"], r"^\S++", "")).otherwise(g["text"]), LEADING, "").alias("text")))
-        back = F.transform(apart, lambda g: F.struct((g["hi"] - F.length(g["text"])).alias("lo"), F.when(g["i"] < F.size(over), F.regexp_replace(F.reverse(g["text"]), r"^\S++", "")).otherwise(F.reverse(g["text"])).alias("text")))
-        values = F.transform(back, lambda g: F.struct(g["lo"].alias("lo"), F.reverse(F.regexp_replace(g["text"], r"^[^\p{L}\p{N}]++", "")).alias("value")))
-        free = F.transform(F.filter(values, lambda v: v["value"].rlike("[0-9@]")), lambda v: made(v["lo"], v["lo"] + F.length(v["value"]), v["value"], 0, F.lit(None).cast("int")))
-        return F.transform(F.concat(seeds, free), lambda z: placed(x, z))
-
-    over = lambda x: F.filter("base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
-    df = df.withColumn("tokens", F.transform("tokens", lambda x: x.withField("over", over(x))))
-    return df.select("row", "doc_id", "base", F.flatten(F.transform("tokens", instances)).alias("tokens"))
+    """(row, doc_id, base, items): the base spans by start and kind, and seeds and instances with their patterns.
+
+    items: array<struct<start, end, value, base, kind, patterns>>; kind is null where it is not known.
+    """
+    given = F.coalesce(F.col(text), F.lit(""))
+    df = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), given.alias("text"), given.alias("masked"))
+    for kind in KINDS:
+        df = _masked(_located(df, "text", PATTERNS[kind], kind, SIGNS[kind]), "masked", kind)
+        df = df.withColumn(kind, _valid_ones(kind))
+    df = _located(df, "masked", TOKEN, "tokens", "[0-9@]")
+    item = lambda x, lo, value, base, kind: F.struct(lo.alias("start"), (lo + F.length(value)).alias("end"), value.alias("value"), F.lit(base).alias("base"), kind.alias("kind"), _patterns(value, x["b1"], x["b2"], x["a1"]).alias("patterns"))
+
+    def free(x):
+        """A token without the marks around it."""
+        left = F.regexp_replace(x["found"], LEADING, "")
+        value = F.regexp_replace(left, TRAILING, "")
+        assigned = F.concat_ws(" ", x["b2"], x["b1"]).rlike(ASSIGNS) & value.rlike(SECRET_VALUE)
+        return item(x, x["end"] - F.length(left), value, False, F.when(assigned, SECRET))
+
+    def seeds(number):
+        return F.transform(KINDS[number], lambda x: item(x, x["start"], x["found"], True, F.lit(number)))
+
+    base = [_numbered(number) for number in range(len(KINDS))]
+    tokens = F.filter(F.transform("tokens", free), lambda x: x["value"].rlike("[0-9@]"))
+    return df.select("row", "doc_id", F.array_sort(F.concat(*base)).alias("base"), F.concat(*[seeds(number) for number in range(len(KINDS))], tokens).alias("items"))
 
 
 def _known(instances: DataFrame, edges: DataFrame) -> DataFrame:
     """One round: patterns scored by what is known of their instances, then unseen instances by their patterns."""
-    scored = edges.join(instances, "value", "left")
-    sums = [F.sum(F.when(F.col("kind") == k, F.col("confidence")).otherwise(0.0)).alias(f"s{k}") for k in range(len(KINDS))]
+    scored = edges.join(instances.hint("merge"), "value", "left")
+    sums = [F.sum(F.when(F.col("kind") == k, F.col("confidence")).otherwise(0.0)).alias(f"s{k}") for k in range(len(ALL_KINDS))]
     patterns = scored.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *sums)
-    best = F.greatest(*[F.struct(F.col(f"s{k}").alias("s"), F.lit(-k).alias("k")) for k in range(len(KINDS))])
+    best = F.greatest(*[F.struct(F.col(f"s{k}").alias("s"), F.lit(-k).alias("k")) for k in range(len(ALL_KINDS))])
     patterns = patterns.withColumn("best", best).select("pattern", (-F.col("best.k")).alias("points"), (F.col("best.s") / F.col("n")).alias("share"), F.col("best.s").alias("support"))
     strong = patterns.where((F.col("support") >= MIN_SUPPORT) & (F.col("share") >= MIN_SHARE))
     unseen = scored.where(F.col("kind").isNull() & (F.length("value") >= MIN_LENGTH)).select("value", "pattern")
-    votes = unseen.join(strong, "pattern").groupBy("value", "points").agg((1 - F.exp(F.sum(F.log(1.0001 - F.col("share"))))).alias("confidence"))
+    votes = unseen.join(strong.hint("merge"), "pattern").groupBy("value", "points").agg((1 - F.exp(F.sum(F.log(1.0001 - F.col("share"))))).alias("confidence"))
     found = votes.groupBy("value").agg(F.max(F.struct("confidence", (-F.col("points")).alias("k"))).alias("top"))
     return found.select("value", (-F.col("top.k")).alias("kind"), F.col("top.confidence").alias("confidence")).where(F.col("confidence") >= MIN_CONFIDENCE)
 
@@ -172,28 +211,30 @@ def _known(instances: DataFrame, edges: DataFrame) -> DataFrame:
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, doc_id, base, spans): base spans, and all spans, as array<struct<start, kind, end>> by start and kind.
 
-    kind numbers KINDS. Null and empty texts have no spans. Copies of a document count once in the scores, as the graph
+    kind numbers ALL_KINDS. Null and empty texts have no spans. Copies of a document count once in the scores, as the graph
     holds distinct pattern-instance pairs; every occurrence of an instance found is reported. Rows that repeat a doc_id
     stay apart. An empty table gives an empty result, and other columns are ignored.
     """
     docs = staged(base_spans(docs, doc_id, text), "spans")
-    tokens = docs.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t")).select("row", "t.*")
-    free = tokens.where("over = 0 or kind is not null")
-    edges = staged(free.select("value", F.explode("patterns").alias("pattern")).distinct(), "edges")
-    seeds = tokens.where("kind is not null").groupBy("value").agg(F.min("kind").alias("kind")).withColumn("confidence", F.lit(1.0))
-    known = staged(seeds, "instances")
+    items = docs.where(F.size("items") > 0).select("row", F.explode("items").alias("x")).select("row", "x.*")
+    edges = staged(items.select("value", F.explode("patterns").alias("pattern")).distinct(), "edges")
+    #: no table of instances has more rows than the graph has edges, but for values without any pattern
+    files = 1 + edges.count() // GRAPH_FILE_ROWS
+    seeds = items.where("kind is not null").groupBy("value").agg(F.min("kind").alias("kind")).withColumn("confidence", F.lit(1.0))
+    known = staged(seeds.coalesce(files), "instances")
     for n in count(1):
-        new = staged(_known(known, edges), "instances")
+        new = staged(_known(known, edges).coalesce(files), "instances")
         if new.isEmpty():
             break
         known = known.unionByName(new)
-        known = staged(known, "instances") if n % FOLD == 0 else known
-    added = tokens.where((F.col("over") == 0) & (F.length("value") >= MIN_LENGTH)).drop("kind").join(known, "value")
-    added = added.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
-    return docs.join(added, "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("spans"))
+        known = staged(known.coalesce(files), "instances") if n % FOLD == 0 else known
+    free = items.where(~F.col("base") & (F.length("value") >= MIN_LENGTH)).select("row", "start", "end", "value")
+    added = free.join(known.hint("merge"), "value").groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return docs.select("row", "doc_id", "base").join(added.hint("merge"), "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
 
 
 def span_text(spans: str) -> Column:
     """kind:start:end of each span, comma-joined."""
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in ALL_KINDS])
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")

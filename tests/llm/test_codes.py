@@ -276,3 +276,31 @@ def test_neighbouring_words_are_whole(spark):
     texts += [f"see mailto{' ' * 80}user77[at]mail.example now", f"see cd{tail} user78[at]mail.example now", f"see ab{tail} user79[at]mail.example now"]
     got = found_in(spark, texts)
     assert [got[k] for k in (80, 81, 82)] == [[("user77[at]mail.example", 0)], [], [("user79[at]mail.example", 0)]]
+
+
+def test_precision_and_recall_of_what_the_method_adds(spark):
+    """Planted identifiers that no base pattern takes, among clean numbers in random contexts."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8))) for _ in range(300)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    code = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n - 2)) + "a1"
+    texts, planted = [], set()
+    for k in range(480):
+        seed = [f"phone +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", f"mailto user{k}@mail.example.com", f"from host {rng.randint(1, 255)}.{rng.randint(0, 255)}.1.{k % 256}", f'token = "{code(40)}"'][k % 4]
+        texts.append(f"{say(9)} {seed} {say(9)}")
+    for k in range(80):
+        kind = k % 4
+        value = [f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}", f"user{k}[at]mail.example", f"10.0.{k}.x7", code(12)][kind]
+        lead = ["" if k % 8 else "phone ", "mailto ", "from host ", 'token = "'][kind]
+        texts.append(f"{say(9)} {lead}{value}{'\"' if kind == 3 else ''} {say(9)}")
+        planted.add((len(texts) - 1, value))
+    texts += [f"{say(9)} {rng.choice([str(rng.randint(1, 10**7)), f'{rng.randint(1900, 2030)}-0{rng.randint(1, 9)}', f'v{k}.2', f'page {k}', f'{k}%'])} {say(9)}" for k in range(300)]
+    got = found_in(spark, texts)
+    added = {(k, v) for k, spans in got.items() for v, kind in spans if k >= 480}
+    assert len(added & planted) >= 0.9 * len(planted) and len(added - planted) <= 0.05 * len(planted)
+    assert sum(kind == pii.SECRET for k in range(480) for _, kind in got[k]) == 120
+
+
+def test_many_numbers_in_one_text(spark):
+    texts = [" ".join(f"1.2.{k % 250}.{k % 199}, no{k}" for k in range(8_000))]
+    assert len(found_in(spark, texts)[0]) == 8_000
