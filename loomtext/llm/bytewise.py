@@ -15,17 +15,18 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 19
 #: Fixed odd multiplier of the span hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_STEP = 1 << 16
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i up to ``n``."""
-    if len(_POWERS[0]) <= n:
-        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            steps = np.full(n + 1, base, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
+def _table(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+#: BASE**i and BASE**-i modulo 2**64 for i below _STEP; a long text needs one more number for each _STEP bytes.
+_POWERS = [_table(base, _STEP) for base in (BASE, pow(BASE, -1, 1 << 64))]
+_STRIDE = [pow(BASE, _STEP, 1 << 64), pow(BASE, -_STEP, 1 << 64)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,16 +71,22 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 def prefix_hash(raw: np.ndarray) -> np.ndarray:
     """Running sums from which span_hash() takes the hash of any span."""
-    forward, _ = _powers(len(raw))
     out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * forward[: len(raw)], out=out[1:])
+    scale = 1
+    for at in range(0, len(raw), _STEP):
+        part = raw[at : at + _STEP]
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * (_POWERS[0][: len(part)] * np.uint64(scale)), out=out[at + 1 : at + 1 + len(part)])
+        out[at + 1 : at + 1 + len(part)] += out[at]
+        scale = scale * _STRIDE[0] % (1 << 64)
     return out
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each span, the same wherever these bytes stand."""
-    _, back = _powers(len(sums))
-    return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    back = _POWERS[1][start & (_STEP - 1)]
+    if len(sums) > _STEP:
+        back = back * _table(_STRIDE[1], -(-len(sums) // _STEP))[start >> 16]
+    return mix((sums[end] - sums[start]) * back + (end - start).astype(np.uint64))
 
 
 def word_spans(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -7,8 +7,10 @@ Contexts are counted by anchor and by content before any byte of them moves; whe
 distinct context is cut once, with its number of copies. Blocks of contexts are sorted by two-stage suffix sorting, and
 adjacent common prefixes of ``length`` bytes show the repeated strings.
 
-An anchor with more distinct contexts than a block holds (the edge of a passage that very many documents share) has its
-strings dealt out by a 128-bit fingerprint of each string instead, in as many parts as their number asks for.
+An anchor with more distinct contexts than a block holds (the edge of a passage that very many documents share) is thinned
+first: the starts of a context fall into cells, and all strings of a cell have a core in common, so a cell whose core
+stands nowhere else has no repeated string. What is left of the contexts is cut again and counted by content; should
+it still be more than a block, blocks meet in pairs. The suffix arrays decide in every case.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.bytewise import buffer_of, chunks, mix, prefix_hash, span_hash
+from loomtext.llm.bytewise import buffer_of, chunks, prefix_hash, span_hash
 from loomtext.llm.staging import staged
 from loomtext.llm.suffixes import common_prefixes, suffix_array
 
@@ -30,8 +32,10 @@ GRAM = 96
 #: Bytes of a block, and distinct contexts of one anchor that a block takes.
 BLOCK_BYTES = 1 << 20
 BLOCK_CONTEXTS = 2048
-#: Fingerprints of one part, where an anchor has more contexts.
-PART_CONTEXTS = 4096
+#: Starts of one cell of a crowded anchor's contexts; less than the length of a string.
+CELL = 16
+#: Bytes of a long text that are worked on at once.
+PIECE_BYTES = 1 << 19
 
 
 def _argmin_windows(keys: np.ndarray, width: int) -> np.ndarray:
@@ -68,6 +72,18 @@ def _anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return text, grams[anchor[first]], span_hash(sums, lo, hi + length), lo - offsets[text], hi - offsets[text]
 
 
+def _anchors_by_piece(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+    """_anchors(), of a long text by pieces; a context on an edge is cut, which leaves its strings as they are."""
+    if len(offsets) > 2 or len(raw) <= 2 * PIECE_BYTES:
+        return _anchors(raw, offsets, length, gram)
+    parts = []
+    for at in range(0, len(raw) - length + 1, PIECE_BYTES):
+        piece = raw[at : at + PIECE_BYTES + length - 1]
+        owner, anchor, context, first, last = _anchors(piece, np.array([0, len(piece)]), length, gram)
+        parts.append((owner, anchor, context, first + at, last + at))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def anchor_table(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) -> DataFrame:
     """(row, doc_id, digest, n_bytes, spots) of each document; spots: array<struct<anchor, context, lo, hi>>."""
     kind = docs.select(doc_id).dtypes[0][1]
@@ -78,7 +94,7 @@ def anchor_table(docs: DataFrame, doc_id: str, text: str, length: int, gram: int
         for batch in batches:
             parts, sizes = [], []
             for lo, hi, raw, offsets in chunks(batch.column(3)):
-                owner, *rest = _anchors(raw, offsets, length, gram)
+                owner, *rest = _anchors_by_piece(raw, offsets, length, gram)
                 parts.append((np.bincount(owner, minlength=hi - lo), *rest))
                 sizes.append(np.diff(offsets))
             if not parts:
@@ -105,8 +121,11 @@ def _batch(rows: list) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], names=["anchor", "context", "runs"])
 
 
-def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
-    """(anchor, context, runs): the repeated bytes of each context, by the suffix array of its block."""
+def _by_suffixes(contexts: DataFrame, length: int, *deal: str) -> DataFrame:
+    """(anchor, context, runs): the repeated bytes of each context, by the suffix array of its block.
+
+    Contexts are dealt by anchor, and by the columns ``deal`` where its contexts are in more than one group.
+    """
 
     def solve(rows):
         #: every context ends with a mark below all its bytes; UTF-8 leaves room for the shift by one
@@ -130,58 +149,87 @@ def _by_suffixes(contexts: DataFrame, length: int) -> DataFrame:
                 out.append((r[0], r[1], _runs(starts, length)))
         return out
 
+    keys = ["anchor", *deal]
+
     def blocks(batches):
-        held, weight = [], 0
+        held, weight, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "bytes", "copies")), strict=True):
-                if weight >= BLOCK_BYTES and row[0] != held[-1][0]:
+            for row in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "bytes", "copies", *deal)), strict=True):
+                key = (row[0], *row[4:])
+                #: groups of one anchor stay apart, as a context may be in several of them
+                if held and key != last and (weight >= BLOCK_BYTES or deal):
                     yield _batch(solve(held))
                     held, weight = [], 0
                 held.append(row)
+                last = key
                 weight += len(row[2]) + 1
         if held:
             yield _batch(solve(held))
 
-    dealt = contexts.select("anchor", "context", "bytes", "copies").repartition("anchor").sortWithinPartitions("anchor")
+    dealt = contexts.select("anchor", "context", "bytes", "copies", *deal).repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInArrow(blocks, _FOUND)
 
 
-def _by_fingerprints(contexts: DataFrame, length: int) -> DataFrame:
-    """As _by_suffixes(), for anchors with any number of contexts: equal strings meet by fingerprint."""
+def _anchor_at(raw: np.ndarray, anchor: int, gram: int) -> int:
+    """Where the anchor of a context stands: its first gram with that hash."""
+    at = np.arange(len(raw) - gram + 1)
+    return int(np.flatnonzero(span_hash(prefix_hash(raw), at, at + gram).view(np.int64) == anchor)[0])
+
+
+def _cells(n: int, place: int) -> np.ndarray:
+    """The cell of each of the ``n`` starts of a context: their distance to the anchor, in steps of CELL."""
+    return (place - np.arange(n)) // CELL
+
 
-    def deal(batches):
+def _crowded(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """As _by_suffixes(), for anchors with any number of contexts."""
+
+    def cores(batches):
         for batch in batches:
             out = []
-            for anchor, context, raw, copies, kinds in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "bytes", "copies", "kinds")), strict=True):
+            for anchor, context, raw, copies in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "bytes", "copies")), strict=True):
                 text = np.frombuffer(raw, np.uint8)
-                at = np.arange(len(text) - length + 1)
-                a = span_hash(prefix_hash(text), at, at + length)
-                b = span_hash(prefix_hash(text ^ np.uint8(0x5A)), at, at + length)
-                part = (mix(a ^ np.uint64(77)) % np.uint64(-(-kinds // PART_CONTEXTS))).astype(np.int64)
-                for p in np.unique(part):
-                    use = part == p
-                    out.append((anchor, int(p), context, at[use].astype(np.int32).tobytes(), a[use].tobytes(), b[use].tobytes(), copies))
-            kinds_ = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-            yield pa.record_batch([pa.array([r[k] for r in out], kinds_[k]) for k in range(7)], names=["anchor", "part", "context", "at", "a", "b", "copies"])
-
-    def solve(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        at = [np.frombuffer(r["at"], np.int32) for r in rows]
-        a, b = (np.concatenate([np.frombuffer(r[k], np.uint64) for r in rows]) for k in ("a", "b"))
-        order = np.lexsort((b, a))
-        same = np.concatenate(([False], (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1]), [False]))
-        repeated = np.zeros(len(a), bool)
-        repeated[order[same[1:] | same[:-1]]] = True
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in at])))
-        out = []
-        for k, r in enumerate(rows):
-            starts = np.sort(at[k] if r["copies"] > 1 else at[k][repeated[ends[k] : ends[k + 1]]])
-            if len(starts):
-                out.append((r["anchor"], r["context"], _runs(starts, length)))
-        return pa.Table.from_batches([_batch(out)])
+                place, sums = _anchor_at(text, anchor, gram), prefix_hash(text)
+                for cell in np.unique(_cells(len(text) - length + 1, place)).tolist():
+                    #: all strings that begin CELL * cell to CELL * cell + CELL - 1 bytes before the anchor hold these bytes
+                    lo = np.array([place - CELL * cell])
+                    hi = lo + length - CELL + 1
+                    out.append((anchor, context, cell, int(span_hash(sums, lo, hi).view(np.int64)[0]), copies))
+            yield pa.record_batch([pa.array([r[k] for r in out], pa.int64()) for k in range(5)], names=["anchor", "context", "cell", "core", "copies"])
+
+    table = staged(contexts.mapInArrow(cores, "anchor long, context long, cell long, core long, copies long"), "cells")
+    often = table.groupBy("anchor", "cell", "core").agg(F.sum("copies").alias("n")).where("n > 1").drop("n")
+    left = table.join(often.hint("merge"), ["anchor", "cell", "core"], "left_semi").groupBy("anchor", "context").agg(F.collect_set("cell").alias("cells"))
 
-    parts = contexts.mapInArrow(deal, "anchor long, part long, context long, at binary, a binary, b binary, copies long")
-    return parts.groupBy("anchor", "part").applyInArrow(solve, _FOUND)
+    def cut(batches):
+        for batch in batches:
+            out = []
+            for anchor, context, raw, copies, cells in zip(*(batch.column(k).to_pylist() for k in ("anchor", "context", "bytes", "copies", "cells")), strict=True):
+                text = np.frombuffer(raw, np.uint8)
+                use = np.flatnonzero(np.isin(_cells(len(text) - length + 1, _anchor_at(text, anchor, gram)), cells))
+                new = np.flatnonzero(np.concatenate(([True], use[1:] != use[:-1] + 1)))
+                for a, b in zip(use[new].tolist(), use[np.append(new[1:], len(use)) - 1].tolist(), strict=True):
+                    out.append((anchor, context, a, raw[a : b + length], copies))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
+            yield pa.record_batch([pa.array([r[k] for r in out], kinds[k]) for k in range(5)], names=["anchor", "context", "lo", "bytes", "copies"])
+
+    thin = contexts.join(left.hint("merge"), ["anchor", "context"]).select("anchor", "context", "bytes", "copies", "cells")
+    parts = staged(thin.mapInArrow(cut, "anchor long, context long, lo int, bytes binary, copies long").withColumn("part", F.xxhash64("bytes", F.lit(3))), "parts")
+    distinct = parts.groupBy("anchor", "part").agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+    totals = parts.groupBy("anchor").agg(F.countDistinct("part").alias("kinds"))
+    blocks = F.ceil(F.col("kinds") / BLOCK_CONTEXTS).cast("int")
+    own = F.pmod(F.xxhash64("part"), blocks).cast("int")
+    tiles = F.transform(F.sequence(F.lit(0), blocks - 1), lambda x: F.least(x, own).cast("long") * blocks + F.greatest(x, own))
+    tiled = distinct.join(totals.hint("merge"), "anchor").select("anchor", F.col("part").alias("context"), "bytes", "copies", F.explode(tiles).alias("tile"))
+    found = staged(_by_suffixes(tiled, length, "tile"), "found")
+    spread = found.select("anchor", F.col("context").alias("part"), "runs")
+    moved = parts.select("anchor", "context", "part", "lo").join(spread.hint("merge"), ["anchor", "part"])
+    return moved.select("anchor", "context", F.transform("runs", lambda x: x + F.col("lo")).alias("runs"))
+
+
+def _one_each(docs: DataFrame, given) -> DataFrame:
+    """(digest, bytes) of each distinct text; of copies one a task is moved."""
+    return docs.groupBy(F.sha2(given.cast("binary"), 256).alias("digest")).agg(F.first(given.cast("binary")).alias("bytes"))
 
 
 def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
@@ -199,8 +247,7 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     wanted = repeated.groupBy("row").agg(F.collect_list(F.struct("anchor", "context", "copies", "kinds", "lo", "hi")).alias("cuts"))
     wanted = wanted.join(table.select("row", "digest"), "row").select("digest", "cuts")
     given = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.sha2(given.cast("binary"), 256).alias("digest"), given.cast("binary").alias("bytes"))
-    one_each = texts.join(wanted, "digest").dropDuplicates(["digest"])
+    one_each = _one_each(docs, given).join(wanted.hint("merge"), "digest")
 
     def cut(batches):
         for batch in batches:
@@ -220,7 +267,7 @@ def repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     found = _by_suffixes(pieces.where(F.col("kinds") <= BLOCK_CONTEXTS), length)
     crowded = pieces.where(F.col("kinds") > BLOCK_CONTEXTS)
     if not crowded.isEmpty():
-        found = found.unionByName(_by_fingerprints(crowded, length))
+        found = found.unionByName(_crowded(crowded, length, gram))
     heads = table.groupBy("digest").agg(F.min("row").alias("row"))
     own = spots.join(found, ["anchor", "context"]).select("row", "lo", "runs").join(heads, "row").select("digest", "lo", "runs")
     return table.select("row", "doc_id", "digest", "n_bytes"), own
@@ -237,8 +284,7 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     table, own = repeated_strings(docs, doc_id, text, length, gram)
     spans = own.groupBy("digest").agg(F.collect_list(F.struct("lo", "runs")).alias("parts"))
     given = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.sha2(given.cast("binary"), 256).alias("digest"), given.cast("binary").alias("bytes"))
-    one_each = texts.join(spans, "digest").dropDuplicates(["digest"])
+    one_each = _one_each(docs, given).join(spans.hint("merge"), "digest")
 
     def apply(batches):
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.binary())

@@ -71,6 +71,23 @@ def test_repeats_of_crowded_anchors(docs, rows, monkeypatch):
     assert removed(docs, length=60, gram=20) == brute(rows, 60)
 
 
+def test_repeats_within_long_texts(spark):
+    """A text beyond the piece that is worked on at once, and a copy of most of it at another place."""
+    rng = np.random.default_rng(4)
+    long = rng.integers(97, 123, 1_300_000, np.uint8).tobytes().decode()
+    texts = [long, "0" + long[:700_000] + "1", long[100:499], long[1_048_000:1_049_000]]
+    got = {r.doc_id: r for r in repeats.drop_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[k].n_removed for k in range(4)] == [701_000, 700_000, 0, 1_000] and list(got[1].spans) == [1, 700_001]
+
+
+def test_hashes_of_spans_do_not_depend_on_their_place():
+    raw = np.random.default_rng(5).integers(0, 256, 200_000, np.uint8)
+    raw[150_000:150_500] = raw[70:570]
+    raw[65_400:65_900] = raw[70:570]
+    hashes = bytewise.span_hash(bytewise.prefix_hash(raw), np.array([70, 65_400, 150_000, 71]), np.array([570, 65_900, 150_500, 571]))
+    assert hashes[0] == hashes[1] == hashes[2] != hashes[3]
+
+
 def test_removed_spans_give_the_kept_bytes(docs):
     for r in repeats.drop_repeats(docs.where(F.col("doc_id") > 10), length=60, gram=20).where("kept is not null").collect():
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
