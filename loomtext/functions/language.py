@@ -23,8 +23,9 @@ def heuristic(text: Column, chars: str = TARGET_CHARS, words: tuple = TARGET_WOR
 
     Any typical character or a word share of ``share`` decides; case counts for characters and not for words.
     """
-    found = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    counted = let(found, lambda ws: F.struct(F.size(F.filter(ws, lambda w: w.isin(*words))).alias("known"), F.size(ws).alias("all")))
+    low, letter = F.lower(text), r"[\p{L}\p{N}_]"
+    known = F.regexp_count(low, F.lit(rf"(?<!{letter})(?:{'|'.join(words)})(?!{letter})"))
+    counted = F.struct(known.alias("known"), F.regexp_count(low, F.lit(f"{letter}+")).alias("all"))
 
     def evidence(x):
         n_chars, known = x["chars"], x["words"]["known"]
@@ -36,7 +37,7 @@ def heuristic(text: Column, chars: str = TARGET_CHARS, words: tuple = TARGET_WOR
             (has | (ratio >= share)).alias("is_target"), F.least(F.lit(1.0), F.when(has, 0.4).otherwise(0.0) + ratio * 0.6).alias("confidence"),
         )
 
-    n_chars = F.length(text) - F.length(F.regexp_replace(text, f"[{chars}]", ""))
+    n_chars = F.length(text) - F.length(F.translate(text, chars, ""))
     return let(F.struct(n_chars.alias("chars"), F.length(text).alias("length"), counted.alias("words")), evidence)
 
 
@@ -45,6 +46,19 @@ def from_column(label: Column, conf: float = 1.0) -> Column:
     return F.struct(F.coalesce(label, F.lit("unknown")).alias("label"), F.lit(conf).alias("conf"))
 
 
+def top_labels(load: Callable[[], Callable[[str], list[tuple[str, float]]]], top: int = 3):
+    """A pandas UDF around a model that ranks labels: array<struct<label, conf>> of the ``top`` best; blank text has none."""
+
+    @F.pandas_udf("array<struct<label:string,conf:double>>")
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for part in texts:
+            ranked = [sorted(model(" ".join(t.split())), key=lambda x: (-x[1], x[0]))[:top] if isinstance(t, str) and t.strip() else [] for t in part]
+            yield pd.Series([[{"label": a, "conf": float(b)} for a, b in x] for x in ranked])
+
+    return predict
+
+
 def from_model(load: Callable[[], Callable[[str], tuple[str, float]]]):
     """A pandas UDF around a model, loaded once for each Python worker. Blank text gives __empty__ with 0."""
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Unicode white space together with the separators U+001C to U+001F, inside a character class.
-SPACE = r"\s\x1c-\x1f"
+#: Unicode white space together with the separators U+001C to U+001F: inside a character class, and as characters.
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 NONE = "array<string>"
 
 
@@ -20,17 +21,17 @@ def let(value: Column, body) -> Column:
 
 def ustrip(text: Column) -> Column:
     """``text`` without Unicode white space at either end; null stays null."""
-    return F.regexp_replace(text, rf"(?U)^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def squeeze(text: Column) -> Column:
     """ustrip() with every inner run of white space as one space."""
-    return F.regexp_replace(ustrip(text), rf"(?U)[{SPACE}]+", " ")
+    return F.regexp_replace(ustrip(text), rf"[{SPACE}]+", " ")
 
 
 def tokens(text: Column) -> Column:
     """White-space separated tokens; null gives none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"(?U)[^{SPACE}]+"), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^{SPACE}]+"), F.lit(0))
 
 
 def token_count(text: Column) -> Column:
@@ -52,6 +53,11 @@ def key_squeezed(text: Column) -> Column:
     return squeeze(F.lower(F.coalesce(text, F.lit(""))))
 
 
+def digest(key: Column) -> Column:
+    """128 bits that stand for a key in shuffles, so that whole texts are not keys; null stays null."""
+    return F.md5(key.cast("binary"))
+
+
 def norm_text(value: Column) -> Column:
     """Any scalar as stripped text; null and NaN give the empty text."""
     text = F.coalesce(value.cast("string"), F.lit(""))
@@ -79,7 +85,7 @@ def _filled(parts: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Lines, cut after . ! ? or an ellipsis that white space follows; blank pieces dropped, 3.14 intact."""
-    return _filled(F.split(F.coalesce(text, F.lit("")), rf"(?U)\n|(?<=[.!?…])[{SPACE}]+"))
+    return _filled(F.split(F.coalesce(text, F.lit("")), rf"\n|(?<=[.!?…])[{SPACE}]+"))
 
 
 def has_code(text: Column) -> Column:
@@ -164,18 +170,22 @@ def overlap_merge(chunks: Column, most: int = 5) -> Column:
 
 
 def word_distance(ref: Column, hyp: Column) -> Column:
-    """Edit distance of two word arrays."""
+    """Edit distance of two word arrays, a row of the table at a time.
+
+    The cell to the left makes a row a running minimum, which is found in steps of doubled reach, so a row of m cells
+    costs m times the logarithm of m.
+    """
 
     def distance(both):
         ref, hyp = both["ref"], both["hyp"]
         m = F.size(hyp)
+        reaches = F.transform(F.sequence(F.lit(0), F.floor(F.log2(m)).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int"))
 
         def row(prev, r):
-            def cell(cur, j):
-                cost = F.when(r == F.get(hyp, j - 1), F.get(prev, j - 1)).otherwise(1 + F.least(F.get(prev, j), F.get(cur, j - 1), F.get(prev, j - 1)))
-                return F.concat(cur, F.array(cost))
-
-            return F.aggregate(F.sequence(F.lit(1), m), F.array(F.get(prev, F.lit(0)) + 1), cell)
+            #: without the cell to the left; less the place, so that a step to the right costs nothing
+            above = F.transform(prev, lambda p, j: F.least(p + 1, F.get(prev, j - 1) + F.when(F.get(hyp, j - 1) == r, 0).otherwise(1)) - j)
+            least = F.aggregate(reaches, above, lambda acc, far: F.transform(acc, lambda x, j: F.least(x, F.get(acc, j - far))))
+            return F.transform(least, lambda x, j: x + j)
 
         return F.when(m == 0, F.size(ref)).otherwise(F.element_at(F.aggregate(ref, F.sequence(F.lit(0), m), row), -1))
 
@@ -222,6 +232,11 @@ def transcription_minutes_of_size(megabytes: Column, known_mb: float = 289.0, kn
     return megabytes * known_minutes / known_mb
 
 
+def whole_article(text: Column) -> Column:
+    """The text of an article as one item: stripped, blank ones as null."""
+    return F.nullif(norm_text(text), F.lit(""))
+
+
 def preview(text: Column, chars: int = 500) -> Column:
     """The first characters of a text, for display only."""
     return F.substring(F.coalesce(text, F.lit("")), 1, chars)

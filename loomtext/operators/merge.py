@@ -7,18 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.functions.text import key_strip, key_squeezed, norm_sources
+from loomtext.functions.text import digest, key_strip, key_squeezed, norm_sources
 
 
 def provenance_merge(rows: DataFrame, order: Column, text: str = "text", sources: str = "sources", drop_blank: bool = False) -> DataFrame:
     """One row for each K2 key: the first text by ``order`` as it stands, and the sorted union of all sources.
 
     Sources are exploded and deduplicated by partial aggregation, so a key that very many rows share costs a row for each
-    source and task. Null sources add none. With ``drop_blank`` keys without text go, else they form one group.
+    source and task; keys travel as digests. Null sources add none. With ``drop_blank`` keys without text go, else they form one group.
     """
     base = rows.select(key_strip(F.col(text)).alias("key"), F.col(text).alias("text"), norm_sources(F.col(sources)).alias("s"), order.alias("ord"))
     base = base.where("key <> ''") if drop_blank else base
-    parts = base.select("key", "text", "ord", F.explode_outer("s").alias("source"))
+    parts = base.select(digest(F.col("key")).alias("key"), "text", "ord", F.explode_outer("s").alias("source"))
     merged = parts.groupBy("key").agg(F.min_by("text", "ord").alias("text"), F.array_sort(F.collect_set("source")).alias("sources"))
     return merged.select("text", "sources")
 
@@ -44,7 +44,7 @@ def append_merge(corpora: list[DataFrame], text: str = "text", order: str = "ord
     ranked = [c.withColumn("_rank", F.lit(k)) for k, c in enumerate(corpora)]
     both = reduce(DataFrame.unionByName, ranked)
     key = F.when(F.col(text).isNotNull(), key_strip(F.col(text)))
-    return first_wins(both, key, F.col("_rank"), F.col(order)).drop("_rank")
+    return first_wins(both, digest(key), F.col("_rank"), F.col(order)).drop("_rank")
 
 
 def bag_union(corpora: list[DataFrame]) -> DataFrame:
@@ -54,7 +54,7 @@ def bag_union(corpora: list[DataFrame]) -> DataFrame:
 
 def fragment_dedup(fragments: DataFrame, *order: Column, text: str = "text") -> DataFrame:
     """The first fragment of each K3 key, with the sources of its own parent."""
-    return first_wins(fragments, key_squeezed(F.col(text)), *order)
+    return first_wins(fragments, digest(key_squeezed(F.col(text))), *order)
 
 
 def keyed_append(existing: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:

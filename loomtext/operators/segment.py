@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.functions.text import article_sentences, collapse_repetitions, collapse_runs, cut_sentences, has_code, key_squeezed, key_strip, overlap_merge, sentence_groups, spoken_sentences, tokens
+from loomtext.functions.text import article_sentences, collapse_repetitions, collapse_runs, cut_sentences, digest, has_code, key_squeezed, key_strip, overlap_merge, sentence_groups, spoken_sentences, token_count, tokens, whole_article
 from loomtext.operators.merge import first_wins
 
 
 def split_fragments(rows: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, min_chars: int = 10) -> DataFrame:
     """(key, part, text, sources, has_code, reason): sentence groups marked short, dup or kept, in this order."""
     parts = rows.select(key, "sources", has_code(F.col(text)).alias("has_code"), F.posexplode(sentence_groups(F.col(text), size)).alias("part", "text"))
-    keyed = parts.withColumn("key", F.when(F.length("text") >= min_chars, key_squeezed(F.col("text"))))
+    keyed = parts.withColumn("key", F.when(F.length("text") >= min_chars, digest(key_squeezed(F.col("text")))))
     first = keyed.where("key is not null").groupBy("key").agg(F.min(F.struct(key, "part")).alias("first"))
     marked = keyed.join(first, "key", "left")
     reason = F.when(F.col("key").isNull(), "short").when(F.struct(key, "part") == F.col("first"), "kept").otherwise("dup")
@@ -22,13 +22,13 @@ def split_fragments(rows: DataFrame, key: str = "doc_id", text: str = "text", si
 def kept_fragments(rows: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, min_chars: int = 10) -> DataFrame:
     """(key, part, text, sources): the kept rows of split_fragments(), found in one aggregation."""
     parts = rows.select(key, "sources", F.posexplode(sentence_groups(F.col(text), size)).alias("part", "text")).where(F.length("text") >= min_chars)
-    return first_wins(parts, key_squeezed(F.col("text")), F.col(key), F.col("part")).select(key, "part", "text", "sources")
+    return first_wins(parts, digest(key_squeezed(F.col("text"))), F.col(key), F.col("part")).select(key, "part", "text", "sources")
 
 
 def split_counters(rows: DataFrame, key: str = "doc_id", text: str = "text", size: int = 2, min_chars: int = 10) -> DataFrame:
     """(reason, n_rows, n_bytes, n_code) of split_fragments(), from sums over the keys instead of marked rows."""
     parts = rows.select(key, has_code(F.col(text)).cast("long").alias("code"), F.posexplode(sentence_groups(F.col(text), size)).alias("part", "text"))
-    parts = parts.select("code", F.octet_length("text").cast("long").alias("b"), F.struct(key, "part").alias("o"), F.when(F.length("text") >= min_chars, key_squeezed(F.col("text"))).alias("key"))
+    parts = parts.select("code", F.octet_length("text").cast("long").alias("b"), F.struct(key, "part").alias("o"), F.when(F.length("text") >= min_chars, digest(key_squeezed(F.col("text")))).alias("key"))
     keys = parts.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("b").alias("b"), F.sum("code").alias("k"), F.min(F.struct("o", "b", "code")).alias("f"))
     row = lambda reason, n, b, k: F.struct(F.lit(reason).alias("reason"), n.cast("long").alias("n"), b.alias("b"), k.alias("k"))
     short = F.array(row("short", F.col("c"), F.col("b"), F.col("k")))
@@ -45,7 +45,23 @@ def sentence_rows(rows: DataFrame, keep: list[str], text: str = "text", min_word
 def transcript_sentences(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Cleaned transcript sentences, the first of each K2 key, with the key of their own video."""
     parts = rows.select(key, F.posexplode(spoken_sentences(collapse_repetitions(F.col(text)))).alias("part", "text"))
-    return first_wins(parts, key_strip(F.col("text")), F.col(key), F.col("part"))
+    return first_wins(parts, digest(key_strip(F.col("text"))), F.col(key), F.col("part"))
+
+
+def transcript_report(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """One row of transcript_sentences(): sentences before dedup, final ones, duplicates, words, least and greatest length."""
+    parts = rows.select(F.explode(spoken_sentences(collapse_repetitions(F.col(text)))).alias("text"))
+    keys = parts.groupBy(digest(key_strip(F.col("text"))).alias("key")).agg(F.count(F.lit(1)).alias("c"), F.min(token_count(F.col("text"))).alias("w"))
+    zero = F.lit(0).cast("long")
+    return keys.agg(
+        F.coalesce(F.sum("c"), zero).alias("before"), F.count(F.lit(1)).alias("final"), F.coalesce(F.sum(F.col("c") - 1), zero).alias("duplicates"),
+        F.coalesce(F.sum("w"), zero).alias("words"), F.min("w").alias("min_words"), F.max("w").alias("max_words"),
+    )
+
+
+def article_rows(rows: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """Whole articles as items: one row for each that has text, with the columns of its article."""
+    return rows.select(*keep, whole_article(F.col(text)).alias("text")).where("text is not null")
 
 
 def asr_documents(chunks: DataFrame, video: str, min_confidence: float = 0.5) -> DataFrame:

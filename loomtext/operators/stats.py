@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.functions.text import key_strip, known_sources, token_count
+from loomtext.functions.text import digest, key_strip, known_sources, token_count
 
 
 def corpus_totals(rows: DataFrame, text: str = "text") -> DataFrame:
@@ -51,7 +51,7 @@ def source_histogram(rows: DataFrame, sources: str = "sources", top: int | None
 
 def duplicate_rate(rows: DataFrame, text: str = "text") -> DataFrame:
     """One row: n, distinct K2 keys (null and blank are one) and the percentage of duplicates."""
-    keys = rows.groupBy(key_strip(F.col(text)).alias("key")).agg(F.count(F.lit(1)).alias("c"))
+    keys = rows.groupBy(digest(key_strip(F.col(text))).alias("key")).agg(F.count(F.lit(1)).alias("c"))
     out = keys.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("distinct_keys"))
     return out.withColumn("duplicate_pct", F.coalesce(100.0 * (F.col("n") - F.col("distinct_keys")) / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0)))
 
@@ -95,6 +95,34 @@ def dataset_profile(rows: DataFrame, text: str = "text", source: str = "source")
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count(text).alias("n_texts"), F.avg(F.length(text)).alias("avg_len"), F.countDistinct(source).alias("n_sources"))
 
 
+def validation_report(rows: DataFrame, reason: str, words: str, confidence: str, language: str, mismatch: str = "not_target", top: int = 5) -> DataFrame:
+    """One row of a validated table: how many passed and were rejected, words and confidence of what passed, and the
+    ``top`` languages of the rows rejected for their language, most common first and ties by name."""
+    passed, wrong = F.col(reason) == "passed", F.col(reason) == mismatch
+    counts = rows.groupBy(F.when(wrong, F.col(language)).alias("l"), wrong.alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(passed).alias("p"), F.sum(F.when(passed, F.col(words))).alias("words"),
+        F.sum(F.when(passed, F.col(confidence))).alias("c"), F.min(F.when(passed, F.col(confidence))).alias("lo"), F.max(F.when(passed, F.col(confidence))).alias("hi"),
+    )
+    zero = F.lit(0).cast("long")
+    out = counts.agg(
+        F.coalesce(F.sum("n"), zero).alias("total"), F.coalesce(F.sum("p"), zero).alias("passed"), F.coalesce(F.sum("words"), zero).alias("words"),
+        F.sum("c").alias("_c"), F.min("lo").alias("min_confidence"), F.max("hi").alias("max_confidence"),
+        F.slice(F.array_sort(F.collect_list(F.when(F.col("w"), F.struct((-F.col("n")).alias("n"), F.col("l").alias("l"))))), 1, top).alias("_top"),
+    )
+    share = lambda n: F.coalesce(100.0 * n / F.nullif(F.col("total"), zero), F.lit(0.0))
+    return out.select(
+        "total", "passed", (F.col("total") - F.col("passed")).alias("rejected"), share(F.col("passed")).alias("passed_pct"), share(F.col("total") - F.col("passed")).alias("rejected_pct"), "words",
+        (F.col("words") / F.nullif(F.col("passed"), zero)).alias("avg_words"), (F.col("words") * 7 / (1024.0 * 1024.0)).alias("est_mb"), (F.col("_c") / F.nullif(F.col("passed"), zero)).alias("avg_confidence"),
+        "min_confidence", "max_confidence", F.transform("_top", lambda x: F.concat_ws(":", x["l"], (-x["n"]).cast("string"))).alias("top_rejected"),
+    )
+
+
+def dataset_preview(rows: DataFrame, key: str, source: str = "source", first: int = 10) -> DataFrame:
+    """One row: the ``first`` sources by name, and the row with the least key as a sample."""
+    names = rows.select(F.col(source)).where(F.col(source).isNotNull()).distinct().orderBy(source).limit(first).agg(F.array_sort(F.collect_list(source)).alias("first_sources"))
+    return names.crossJoin(F.broadcast(rows.agg(F.min_by(F.struct("*"), F.col(key)).alias("sample"))))
+
+
 def language_top(rows: DataFrame, label: str, top: int = 20) -> DataFrame:
     """(label, n_rows, pct) of the ``top`` most common labels, percentages of all rows, ties by name."""
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))

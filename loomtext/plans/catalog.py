@@ -197,6 +197,21 @@ def n1_reason_report(spark, sf_dir):
     return _validated(spark, sf_dir).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("word_count").alias("words"))
 
 
+@query(_VALID + """, r AS (SELECT v.reason, v.word_count, d.lang, round(least(1.0, (CASE WHEN g.nc > 0 THEN 0.4 ELSE 0.0 END) + g.ratio * 0.6), 6) AS conf
+      FROM v JOIN documents d ON v.kind = 'doc' AND v.id = d.doc_id JOIN g ON g.kind = 'doc' AND g.id = d.doc_id),
+     p AS (SELECT count(*) AS total, count(*) FILTER (reason = 'passed') AS passed, CAST(coalesce(sum(word_count) FILTER (reason = 'passed'), 0) AS BIGINT) AS words,
+           round(avg(conf) FILTER (reason = 'passed'), 6) AS avg_confidence, min(conf) FILTER (reason = 'passed') AS min_confidence, max(conf) FILTER (reason = 'passed') AS max_confidence FROM r),
+     l AS (SELECT lang || ':' || count(*) AS x, count(*) AS n, lang FROM r WHERE reason = 'not_target' GROUP BY lang),
+     y AS (SELECT coalesce(string_agg(x, ',' ORDER BY n DESC, lang), '') AS top_rejected FROM (FROM l ORDER BY n DESC, lang LIMIT 5))
+SELECT total, passed, total - passed AS rejected, round(100.0 * passed / total, 6) AS passed_pct, words, round(words / passed, 6) AS avg_words, round(words * 7 / 1048576.0, 6) AS est_mb,
+       avg_confidence, min_confidence, max_confidence, top_rejected FROM p, y""")
+def n1_full_report(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(filters.validation(F.col("text")).alias("v"), F.round(heuristic(F.col("text"))["confidence"], 6).alias("conf"), "lang")
+    report = stats.validation_report(docs.select("v.reason", "v.word_count", "conf", "lang"), "reason", "word_count", "conf", "lang")
+    rounded = [F.round(c, 6).alias(c) for c in ("passed_pct", "avg_words", "est_mb", "avg_confidence")]
+    return report.select("total", "passed", "rejected", "words", *rounded, "min_confidence", "max_confidence", F.array_join("top_rejected", ",").alias("top_rejected"))
+
+
 @query("SELECT page_id, coalesce(list_sum([length(x) for x in regexp_extract_all(html, '<[^>]+>')]), 0) / length(html) > 0.1 AS residual FROM pages")
 def html_residual(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", (tx.html_share(F.col("html")) > 0.1).alias("residual"))
@@ -296,6 +311,16 @@ def transcript_clean(spark, sf_dir):
     return segment.transcript_sentences(table(spark, sf_dir, "conversations").withColumn("video", F.concat("conv_id", F.lit("-"), "turn")), "video").select("video", "text")
 
 
+@query()
+def transcript_report(spark, sf_dir):
+    return segment.transcript_report(table(spark, sf_dir, "conversations").withColumn("video", F.concat("conv_id", F.lit("-"), "turn")), "video")
+
+
+@query(rf"""SELECT doc_id, {STRIP.format('text')} AS text FROM documents WHERE {STRIP.format("coalesce(text, '')")} <> ''""")
+def article_rows(spark, sf_dir):
+    return segment.article_rows(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query()
 def asr_documents(spark, sf_dir):
     chunks = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("chunk_id"), "text", (F.pmod(F.col("turn"), F.lit(10)) / 10.0).alias("confidence"))

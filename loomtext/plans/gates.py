@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtext.functions.text import key_strip
+from loomtext.functions.text import digest, key_strip
 from loomtext.operators.setops import baseline_loss
 
 
@@ -60,8 +60,8 @@ def gate_schema(rows: DataFrame, columns: tuple[str, ...]) -> GateResult:
 def measures(rows: DataFrame, text: str = "text") -> DataFrame:
     """One row: n, empty, distinct keys and UTF-8 bytes, by partial sums over the keys."""
     t = F.coalesce(F.col(text), F.lit(""))
-    keys = rows.groupBy(key_strip(t).alias("key")).agg(F.count(F.lit(1)).alias("c"), F.sum(F.octet_length(t).cast("long")).alias("b"))
-    return keys.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("key") == "", F.col("c"))), F.lit(0)).alias("empty"), F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"))
+    keys = rows.groupBy(digest(key_strip(t)).alias("key"), (key_strip(t) == "").alias("blank")).agg(F.count(F.lit(1)).alias("c"), F.sum(F.octet_length(t).cast("long")).alias("b"))
+    return keys.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("blank"), F.col("c"))), F.lit(0)).alias("empty"), F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"))
 
 
 def run_gates(rows: DataFrame, config: GateConfig, stats: dict | None = None, baseline: DataFrame | None = None) -> GateReport:

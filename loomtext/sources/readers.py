@@ -82,6 +82,13 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def read_pages(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
+    """(url, category, html) of the files of a crawl's folder; the folder that holds a file names its category."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
+    where = F.col("_metadata.file_path")
+    return files.select(where.alias("url"), F.element_at(F.split(where, "/"), -2).alias("category"), F.col("value").alias("html"))
+
+
 def read_waveforms(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFrame:
     """(path, audio bytes) of the files of a folder, for a decoder that the caller brings."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", F.col("content").alias("audio"))

@@ -19,17 +19,25 @@ def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 def merge_available(stream: DataFrame, state: str, checkpoint: str, order: str = "ord") -> StreamingQuery:
     """Merges what has arrived into versions of a corpus at ``state``, by K2 key, earlier batches first; then stops.
 
-    Each batch writes a version folder of its own number, so a batch that is run again after a failure replaces its own
-    output only.
+    Each batch reads the last whole version, whatever query wrote it, and writes the next one. A batch that runs again
+    after a failure merges what is already there, which changes nothing. Versions are whole corpora; older ones may go.
     """
 
+    def versions(spark: SparkSession) -> list[int]:
+        """Numbers of the versions that were written to their end."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(state)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        marks = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/v=*/_SUCCESS")) or []
+        return sorted(int(m.getPath().getParent().getName()[2:]) for m in marks)
+
     def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = batch.select("text", "sources", F.struct(F.lit(1).alias("rank"), F.col(order).cast("long").alias("ord")).alias("_o"))
-        if number:
-            old = spark.read.parquet(f"{state}/v={number - 1}")
+        last = max(versions(spark), default=-1)
+        if last >= 0:
+            old = spark.read.parquet(f"{state}/v={last}")
             new = old.select("text", "sources", F.struct(F.lit(0).alias("rank"), F.lit(0).cast("long").alias("ord")).alias("_o")).unionByName(new)
-        provenance_merge(new, F.col("_o")).write.mode("overwrite").parquet(f"{state}/v={number}")
+        provenance_merge(new, F.col("_o")).write.mode("overwrite").parquet(f"{state}/v={last + 1}")
 
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
