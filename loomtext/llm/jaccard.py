@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from loomtext.llm.bytewise import buffer_of, chunks, mix, shingles, word_hashes
 from loomtext.llm.components import components
-from loomtext.llm.staging import staged
+from loomtext.llm.staging import row_key, staged
 
 #: Buckets of the frequency table: its size does not grow with the data.
 BUCKET_BITS = 18
@@ -32,7 +32,7 @@ FOLD_BITS = 256
 #: Passes over neighbours in the token lists before the pass over all pairs of components.
 NEAR_ROUNDS = 2
 SIGNS = ["sig_a", "sig_b", "key_a", "key_b"]
-#: Texts of candidates are picked by a broadcast of their ids up to this many (16 bytes each), else by a shuffle.
+#: Texts of candidates are picked by a broadcast of their ids up to this many (24 bytes each), else by a shuffle.
 BROADCAST_IDS = 1_000_000
 _FOLD = 12
 
@@ -68,19 +68,15 @@ def shingle_frequency(docs: DataFrame, text: str, size: int) -> np.ndarray:
     return out.ravel()
 
 
-def _row_key(doc_id: str, text: str):
-    """Tells rows apart; rows that repeat both columns are equal sets anyway."""
-    return F.xxhash64(doc_id, text)
-
-
 def prefix_length(n, percent: int):
     """Shingles of a set of ``n`` that any set linked with it must meet: n - ceil(percent * n / 100) + 1."""
     return n - (percent * n + 99) // 100 + 1
 
 
 def shingle_sets(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """(row, doc_id, n, sig_a, sig_b, key_a, key_b, map, prefix) of each document.
+    """(row, doc_id, key, digest, n, sig_a, sig_b, key_a, key_b, map, fold, prefix) of each document.
 
+    row numbers the rows of this table; key and digest are 128 bits of id and text, and of the text.
     n counts distinct shingles; sig_* identify the set and key_* the prefix; map is a bitmap in which each shingle flips
     one bit, so two sets differ in at least as many shingles as their bitmaps in bits.
 
@@ -93,7 +89,7 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, size: int, percent: in
     def sets(batches):
         for batch in batches:
             parts = []
-            for lo, hi, hashes, owner in _tables(batch.column(2), size):
+            for lo, hi, hashes, owner in _tables(batch.column(4), size):
                 token = (rank.value[(hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] << np.uint64(56)) | (hashes >> np.uint64(8))
                 order = np.lexsort((token, owner))
                 token, owner = token[order], owner[order]
@@ -120,11 +116,11 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, size: int, percent: in
                 continue
             n, take, prefix, maps, folds, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(take))), pa.int32()), pa.array(prefix))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *map(pa.array, rest), _map_column(maps), _map_column(folds), lists], names=["row", "doc_id", "n", *SIGNS, "map", "fold", "prefix"])
+            yield pa.record_batch([*batch.columns[:4], pa.array(n, pa.int64()), *map(pa.array, rest), _map_column(maps), _map_column(folds), lists], names=["row", "doc_id", "key", "digest", "n", *SIGNS, "map", "fold", "prefix"])
 
     kind = docs.select(doc_id).dtypes[0][1]
-    base = docs.select(_row_key(doc_id, text).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return base.mapInArrow(sets, f"row long, doc_id {kind}, n long, {', '.join(f'{c} long' for c in SIGNS)}, map binary, fold binary, prefix array<long>")
+    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"), row_key(text).alias("digest"), F.col(text).alias("text"))
+    return base.mapInArrow(sets, f"row long, doc_id {kind}, key struct<a:long,b:long>, digest struct<a:long,b:long>, n long, {', '.join(f'{c} long' for c in SIGNS)}, map binary, fold binary, prefix array<long>")
 
 
 def _map_column(maps: np.ndarray) -> pa.Array:
@@ -282,11 +278,13 @@ def _possible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(*names, "a_n", "b_n", "a_map", "b_map").mapInArrow(test, schema)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The class pairs (a, b) whose shingle sets link, compared by their whole texts. docs: (row, text)."""
-    wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-    wanted = F.broadcast(wanted) if pairs.count() <= BROADCAST_IDS // 2 else wanted
-    texts = staged(docs.join(wanted, "row", "left_semi").groupBy("row").agg(F.any_value("text").alias("text")), "texts")
+def _verified(pairs: DataFrame, heads: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The class pairs (a, b) whose shingle sets link, compared by their whole texts. docs: (digest, text); heads: (row, digest)."""
+    ids = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+    wanted = heads.join(ids, "row")
+    few = pairs.count() <= BROADCAST_IDS // 2
+    some = docs.join(F.broadcast(wanted.select("digest")) if few else wanted.select("digest"), "digest", "left_semi")
+    texts = staged(some.groupBy("digest").agg(F.any_value("text").alias("text")).join(wanted, "digest").select("row", "text"), "texts")
     both = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("row").alias("b"), F.col("text").alias("y")), "b")
 
     def verify(batches):
@@ -339,7 +337,9 @@ def _expanded(cross: DataFrame, labelled: DataFrame, members: DataFrame, percent
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """(row, doc_id, n, class_id, component, component_doc) of each document.
+    """(row, doc_id, key, n, class_id, component, component_doc) of each document.
+
+    row numbers the documents; key is 128 bits of id and text, as row_key() gives them.
 
     Two documents link when 100 * common shingles >= percent * shingles of either. class_id: smallest row with the same
     set; component: smallest row reachable; component_doc: smallest doc_id reachable. Documents without words are linked
@@ -360,15 +360,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     lists = _first_of_equal_lists(shared).join(members.select(F.col("class_id").alias("grp"), F.col("fold").alias("map")), "grp")
     lists = staged(_dealt(lists), "lists")
 
-    texts = docs.select(_row_key(doc_id, text).alias("row"), F.col(text).alias("text"))
+    texts = docs.select(row_key(text).alias("digest"), F.col(text).alias("text"))
+    digests = staged(heads.select("row", "digest"), "digests")
     #: classes of one group are tried with its head first
     tried = grouped.where("grp <> class_id").select(F.col("grp").alias("a"), F.col("class_id").alias("b"))
     links, labelled = None, grouped.withColumn("label", F.col("class_id"))
     for turn in range(NEAR_ROUNDS):
-        heads = labelled.where("grp = class_id").select("grp", "label")
-        entries = _dealt(lists.join(heads, "grp")) if turn else lists.withColumn("label", F.col("grp"))
+        leading = labelled.where("grp = class_id").select("grp", "label")
+        entries = _dealt(lists.join(leading, "grp")) if turn else lists.withColumn("label", F.col("grp"))
         near = _near_pairs(entries, percent, turn).unionByName(tried).distinct()
-        found = _verified(staged(_possible(near, members, percent), "pairs"), texts, size, percent)
+        found = _verified(staged(_possible(near, members, percent), "pairs"), digests, texts, size, percent)
         links = staged(found if links is None else links.unionByName(found), "links")
         labels = components(links).withColumnRenamed("node", "class_id")
         labelled = staged(grouped.join(labels, "class_id", "left").select("grp", "class_id", "n", F.coalesce("label", "class_id").alias("label")), "labelled")
@@ -377,18 +378,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cross = staged(_expanded(_cross_pairs(_labelled_lists(lists, labelled, members), percent).distinct(), labelled, members, percent), "cross")
     #: one pair for each two components first; most of the others are in one component then
     tried = staged(cross.groupBy("label_a", "label_b").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
-    links = staged(links.unionByName(_verified(tried, texts, size, percent)), "links")
+    links = staged(links.unionByName(_verified(tried, digests, texts, size, percent)), "links")
     labels = components(links)
     of = {x: labels.select(F.col("node").alias(x), F.col("label").alias(f"now_{x}")) for x in ("a", "b")}
     left = cross.select("a", "b").join(tried, ["a", "b"], "left_anti").join(of["a"], "a", "left").join(of["b"], "b", "left")
     left = staged(left.where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select("a", "b"), "pairs")
-    more = staged(_verified(left, texts, size, percent), "links")
+    more = staged(_verified(left, digests, texts, size, percent), "links")
 
     final = labels if more.isEmpty() else components(links.unionByName(more))
     joined = classes.join(final.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("label", "class_id"))
     least = joined.groupBy("component").agg(F.min("class_doc").alias("component_doc"))
     named = joined.join(least, "component").select(*same_set, "class_id", "component", "component_doc")
-    return sets.select("row", "doc_id", *same_set).join(named, same_set, "left").select(
-        "row", "doc_id", "n", F.coalesce("class_id", "row").alias("class_id"), F.coalesce("component", "row").alias("component"),
+    return sets.select("row", "doc_id", "key", *same_set).join(named, same_set, "left").select(
+        "row", "doc_id", "key", "n", F.coalesce("class_id", "row").alias("class_id"), F.coalesce("component", "row").alias("component"),
         F.coalesce("component_doc", "doc_id").alias("component_doc"),
     )

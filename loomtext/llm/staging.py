@@ -5,13 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset (a local test), a temporary folder that is then set."""
+    """``spark.checkpoint.dir`` of the session; where it is unset (a local test), a temporary folder that is then set.
+
+    On a cluster it has to be set: executors would not see each other's temporary folders.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is unset: it has to name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="loomtext-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -29,6 +36,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(*columns: str) -> Column:
+    """128 bits that tell rows apart by these columns; rows that agree in all of them have one key."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
