@@ -9,22 +9,18 @@ windows to its last, and the lines that later occurrences cover go.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtext.llm.staging import fresh, staged
+from loomtext.llm.staging import fresh, row_key, staged
 
 #: Words of the shortest repeated run that is removed.
 MIN_WORDS = 30
 
 
-def _row(doc_id: str, text: str) -> Column:
-    return F.xxhash64(doc_id, text)
-
-
 def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(row, doc_id, at, words, hash) of each line that has words; words are runs of anything but spaces."""
-    lines = docs.select(_row(doc_id, text).alias("row"), F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("at", "line"))
+    lines = docs.select(row_key(doc_id, text).alias("row"), F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("at", "line"))
     words = F.size(F.filter(F.split("line", " "), lambda x: x != ""))
     return lines.select("row", "doc_id", "at", words.alias("words"), F.xxhash64("line").alias("hash")).where("words > 0")
 
@@ -51,10 +47,11 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         windows = part if windows is None else windows.unionByName(part)
     windows = staged(windows, "windows")
     prints = windows.select("print", "row", "print_at").distinct().groupBy("print").agg(F.count(F.lit(1)).alias("often")).where("often > 1").select("print")
-    some = windows.join(prints, "print").drop("print_at")
+    #: a very common line is the print of very many windows; so what follows is dealt by content, not by print
+    some = windows.join(prints.hint("merge"), "print").drop("print_at", "print")
     place = F.struct("doc_id", "row", "lo")
-    first = some.groupBy("print", "x", "y").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("often")).where("often > 1").drop("often")
-    later = some.join(first, ["print", "x", "y"]).where(~place.eqNullSafe(F.col("first")))
+    first = some.groupBy("x", "y").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("often")).where("often > 1").drop("often")
+    later = some.join(first.hint("merge"), ["x", "y"]).where(~place.eqNullSafe(F.col("first")))
     return later.select("row", F.explode(F.sequence("lo", "hi")).alias("at")).groupBy("row").agg(F.collect_set("at").alias("gone"))
 
 
@@ -68,7 +65,7 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     gone = repeated_lines(docs, doc_id, text, min_words)
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     row, dropped, split = (fresh(docs, c) for c in ("_row", "_gone", "_parts"))
-    rows = docs.select(*names, _row(doc_id, text).alias(row)).join(gone.select(F.col("row").alias(row), F.col("gone").alias(dropped)), row, "left")
+    rows = docs.select(*names, row_key(doc_id, text).alias(row)).join(gone.select(F.col("row").alias(row), F.col("gone").alias(dropped)), row, "left")
     rows = rows.withColumn(split, F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), dropped)
     left = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
