@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from loomtext.llm import components, decontaminate, jaccard, linededup
@@ -151,3 +152,15 @@ def test_prefixes_meet():
         for n in range(1, 400):
             need = -(-percent * n // 100)
             assert jaccard.prefix_length(n, percent) == n - need + 1
+
+
+def test_pieces_with_one_hash_are_told_apart(monkeypatch):
+    from loomtext.llm import memo
+
+    monkeypatch.setattr(memo, "span_hash", lambda sums, start, end: (end - start).astype(np.uint64) // np.uint64(4))
+    encode = lambda raw, start, end: (np.concatenate([np.frombuffer(raw[a:b], np.uint8) for a, b in zip(start, end)]).astype(np.uint32), end - start)
+    coder = memo.Memo(encode, 1000)
+    raw = np.frombuffer(b"ab" + b"cd" + b"ab" + b"long piece one" + b"long piece two", np.uint8)
+    for start, end in (([0], [2]), ([2], [4]), ([0, 2, 4], [2, 4, 6]), ([6, 20], [20, 34])):
+        ids, count = coder.lookup(raw, np.array(start), np.array(end))
+        assert bytes(ids.astype(np.uint8)) == b"".join(raw[a:b].tobytes() for a, b in zip(start, end)) and count.tolist() == [b - a for a, b in zip(start, end)]
