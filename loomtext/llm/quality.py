@@ -153,12 +153,13 @@ def sample_features(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) ->
 
     def extract(batches):
         for batch in batches:
-            x = features(batch.column(0))
-            yield pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], names=["x"])
+            x = features(batch.column(1))
+            yield pa.record_batch([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], names=["id", "x"])
 
-    #: an id that is repeated gives its least text, so the ids bound the rows
-    one_each = docs.join(F.broadcast(ids), doc_id, "left_semi").groupBy(doc_id).agg(F.min(text).alias(text)).orderBy(doc_id)
-    rows = one_each.select(text).mapInArrow(extract, "x array<double>").toArrow()
+    kind = docs.select(doc_id).dtypes[0][1]
+    found = docs.join(F.broadcast(ids), doc_id, "left_semi").select(F.col(doc_id).alias("id"), text).mapInArrow(extract, f"id {kind}, x array<double>")
+    #: an id that is repeated gives one row, so the ids bound the rows
+    rows = found.groupBy("id").agg(F.min("x").alias("x")).orderBy("id").select("x").toArrow()
     flat = rows.column("x").combine_chunks().flatten() if rows.num_rows else pa.array([], pa.float64())
     return flat.to_numpy(zero_copy_only=False).reshape(-1, len(_CLASSES) + 7)
 
