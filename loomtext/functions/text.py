@@ -169,27 +169,40 @@ def overlap_merge(chunks: Column, most: int = 5) -> Column:
     return F.aggregate(chunks, F.array().cast(NONE), join)
 
 
+#: Words of a pair that get a character each: the code points from 10000 to 10FFFF (hexadecimal).
+WORD_CHARACTERS = 0x110000 - 0x10000
+
+
 def word_distance(ref: Column, hyp: Column) -> Column:
-    """Edit distance of two word arrays, a row of the table at a time.
+    """Edit distance of two word arrays: each distinct word becomes a character, then it is that of two strings."""
+
+    def distance(both):
+        def coded(words):
+            points = F.transform(words, lambda w: F.lpad(F.hex(F.array_position(both["known"], w) + 0xFFFF), 8, "0"))
+            return F.decode(F.unhex(F.array_join(points, "")), "UTF-32")
+
+        by_rows = _distance_by_rows(both["ref"], both["hyp"])
+        return F.when(F.size(both["known"]) <= WORD_CHARACTERS, F.levenshtein(coded(both["ref"]), coded(both["hyp"]))).otherwise(by_rows)
+
+    return let(F.struct(ref.alias("ref"), hyp.alias("hyp"), F.array_union(ref, hyp).alias("known")), distance)
+
+
+def _distance_by_rows(ref: Column, hyp: Column) -> Column:
+    """Edit distance of two arrays, a row of the table at a time, whatever the number of distinct words.
 
     The cell to the left makes a row a running minimum, which is found in steps of doubled reach, so a row of m cells
     costs m times the logarithm of m.
     """
+    m = F.size(hyp)
+    reaches = F.transform(F.sequence(F.lit(0), F.floor(F.log2(m)).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int"))
 
-    def distance(both):
-        ref, hyp = both["ref"], both["hyp"]
-        m = F.size(hyp)
-        reaches = F.transform(F.sequence(F.lit(0), F.floor(F.log2(m)).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int"))
-
-        def row(prev, r):
-            #: without the cell to the left; less the place, so that a step to the right costs nothing
-            above = F.transform(prev, lambda p, j: F.least(p + 1, F.get(prev, j - 1) + F.when(F.get(hyp, j - 1) == r, 0).otherwise(1)) - j)
-            least = F.aggregate(reaches, above, lambda acc, far: F.transform(acc, lambda x, j: F.least(x, F.get(acc, j - far))))
-            return F.transform(least, lambda x, j: x + j)
-
-        return F.when(m == 0, F.size(ref)).otherwise(F.element_at(F.aggregate(ref, F.sequence(F.lit(0), m), row), -1))
+    def row(prev, r):
+        #: without the cell to the left; less the place, so that a step to the right costs nothing
+        above = F.transform(prev, lambda p, j: F.least(p + 1, F.get(prev, j - 1) + F.when(F.get(hyp, j - 1) == r, 0).otherwise(1)) - j)
+        least = F.aggregate(reaches, above, lambda acc, far: F.transform(acc, lambda x, j: F.least(x, F.get(acc, j - far))))
+        return F.transform(least, lambda x, j: x + j)
 
-    return let(F.struct(ref.alias("ref"), hyp.alias("hyp")), distance)
+    return F.when(m == 0, F.size(ref)).otherwise(F.element_at(F.aggregate(ref, F.sequence(F.lit(0), m), row), -1))
 
 
 def wer(ref: Column, hyp: Column) -> Column:

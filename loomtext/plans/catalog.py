@@ -84,36 +84,24 @@ def bag_union(spark, sf_dir):
     return flat(merge.bag_union([corpus(spark, sf_dir).select("text", "sources"), benchmark(spark, sf_dir).select("text", "sources")]))
 
 
-@query("""
-WITH e AS (SELECT doc_id, quality, toxic FROM labels WHERE doc_id % 3 <> 0),
-     n AS (SELECT doc_id, CAST(9 AS INTEGER) AS quality, CAST(9 AS INTEGER) AS toxic FROM documents WHERE doc_id % 2 = 0)
-SELECT * FROM e UNION ALL SELECT * FROM n WHERE doc_id NOT IN (SELECT doc_id FROM e)""")
-def keyed_append_merge(spark, sf_dir):
-    old = table(spark, sf_dir, "labels").where("doc_id % 3 <> 0").select("doc_id", "quality", "toxic", F.lit(0).alias("o"))
-    new = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"), F.lit(0).alias("o"))
-    return merge.keyed_append(old, new, "doc_id", "o").drop("o")
-
-
-@query("""
-SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, coalesce(l.quality, -1) AS quality
-FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0) d FULL JOIN labels l ON l.doc_id = d.doc_id""")
-def keyed_enrich_merge(spark, sf_dir):
-    base = table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", "lang", F.lit(-1).alias("quality"), F.lit(0).alias("o"))
-    extra = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(0).alias("o"))
-    return merge.keyed_enrich(base, extra, "doc_id", "o", ["quality"]).select("doc_id", "lang", F.coalesce("quality", F.lit(-1)).alias("quality"))
+_LAST_LABEL = "SELECT doc_id, quality, toxic FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY quality DESC NULLS LAST, toxic DESC NULLS LAST) AS r FROM labels) WHERE r = 1"
 
 
-@query()
+@query(f"""
+WITH e AS ({_LAST_LABEL})
+SELECT * FROM e UNION ALL SELECT DISTINCT doc_id, CAST(9 AS INTEGER), CAST(9 AS INTEGER) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM e)""")
 def keyed_append_merge_whole(spark, sf_dir):
-    """keyed_append_merge of all labels and all documents; rows that repeat a doc_id go by their values."""
+    """All labels, then all documents whose id they lack; rows that repeat a doc_id go by their values."""
     old = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.struct("quality", "toxic").alias("o"))
     new = table(spark, sf_dir, "documents").select("doc_id", F.lit(9).alias("quality"), F.lit(9).alias("toxic"))
     return merge.keyed_append(old, new.withColumn("o", F.struct("quality", "toxic")), "doc_id", "o").drop("o")
 
 
-@query()
+@query(f"""
+SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.lang, coalesce(l.quality, -1) AS quality
+FROM (SELECT doc_id, max(lang) AS lang FROM documents GROUP BY 1) d FULL JOIN ({_LAST_LABEL}) l ON l.doc_id = d.doc_id""")
 def keyed_enrich_merge_whole(spark, sf_dir):
-    """keyed_enrich_merge of all documents with all labels; rows that repeat a doc_id go by their values."""
+    """All documents with the quality of all labels; rows that repeat a doc_id go by their values."""
     base = table(spark, sf_dir, "documents").select("doc_id", "lang", F.lit(-1).alias("quality"), F.col("lang").alias("o"))
     extra = table(spark, sf_dir, "labels").select("doc_id", "quality", F.col("quality").cast("string").alias("o"))
     both = merge.keyed_enrich(base, extra, "doc_id", "o", ["quality"])
@@ -490,18 +478,9 @@ def lang_top(spark, sf_dir):
     return stats.language_top(table(spark, sf_dir, "documents"), "lang").withColumn("pct", F.round("pct", 6))
 
 
-@query("""
-SELECT source, examples, evaluated FROM (SELECT source, count(*) AS examples FROM documents GROUP BY 1)
-LEFT JOIN (SELECT source, count(*) AS evaluated FROM documents WHERE doc_id % 7 = 0 AND source <> 'src1' GROUP BY 1) USING (source)""")
-def source_language_join(spark, sf_dir):
-    rows = corpus(spark, sf_dir)
-    lid = stats.language_share(rows.where("doc_id % 7 = 0 and source <> 'src1'").withColumn("conf", F.lit(1.0)), "lang", "conf", "en", "source").select("source", "evaluated")
-    return stats.sources_with_language(stats.stats_by_source(rows), lid).select("source", "examples", "evaluated")
-
-
-@query()
+@query("SELECT source, count(*) AS examples, count(*) AS evaluated FROM documents GROUP BY 1")
 def source_language_join_whole(spark, sf_dir):
-    """source_language_join with every document evaluated."""
+    """Each source with its documents, all of them evaluated."""
     rows = corpus(spark, sf_dir)
     lid = stats.language_share(rows.withColumn("conf", F.lit(1.0)), "lang", "conf", "en", "source").select("source", "evaluated")
     return stats.sources_with_language(stats.stats_by_source(rows), lid).select("source", "examples", "evaluated")
