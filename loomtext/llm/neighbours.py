@@ -15,11 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.llm.staging import staged
 
 #: Vectors of a query block and of a candidate block.
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 8192
 #: Lists merged by one task of a merging round.
 MERGE_LISTS = 64
@@ -82,9 +83,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     Candidates are all usable vectors of the query's dimension but the query's own; fewer than k give all of them. Null
     ids, and vectors that usable() refuses, take no part. Of rows that repeat an id one, the least vector, counts.
     An empty table gives an empty result; other columns are ignored. Block counts follow the row counts, and a task
-    holds one tile.
+    holds one tile. Vectors of floats travel as floats, all others as doubles; both are multiplied in double precision.
     """
-    rows = vectors.where(F.col(vec_id).isNotNull() & usable(vector)).select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("q"))
+    kind = "array<float>" if isinstance(vectors.schema[vector].dataType.elementType, T.FloatType) else "array<double>"
+    rows = vectors.where(F.col(vec_id).isNotNull() & usable(vector)).select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast(kind).alias("v"), is_query.alias("q"))
     rows = rows.groupBy("id").agg(F.min(F.struct("v", "q")).alias("x")).select("id", "x.v", "x.q", F.size("x.v").alias("dim"))
     rows = staged(rows, "vectors")
     count = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("q").alias("nq")).first()
