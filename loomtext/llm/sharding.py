@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of one slot-numbering group, on average.
+#: Rows of one slot-numbering group, on average, and of one piece of equal rows.
 SLOT_GROUP = 4096
 
 
@@ -47,7 +47,8 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
 
     Slots come from small groups, not from one window a shard: rows are grouped by shard and a hash of key and text, the
     groups are counted with partial sums, and each group starts where those before it end. The count of groups follows
-    the count of rows.
+    the count of rows. Rows that are alike in every column are counted first and move as one; they are written out again
+    in pieces, so that no task gets all rows of a key.
     """
     groups = max(1, math.ceil(docs.count() / (shards * SLOT_GROUP)))
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).select(
@@ -59,13 +60,16 @@ def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     )
     grown = F.when(F.col("walk.next") == shards, F.lit(shards)).otherwise(F.col("walk.last"))
     rows = rows.select("k", "size", "text_crc32", "part", F.col("walk.last").cast("int").alias("shard"), grown.cast("int").alias("grown_shard"))
+    alike = rows.groupBy("shard", "part", "k", "text_crc32", "size", "grown_shard").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("shard", "part").orderBy("k", "text_crc32", "size")
-    numbered = rows.withColumn("at", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, ["shard", "part"]).select(
-        F.col("k").alias(key), "size", "text_crc32", "shard", (F.col("offset") + F.col("at")).cast("long").alias("slot"), "grown_shard"
+    inside = Window.partitionBy("shard", "part").orderBy("k", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = alike.groupBy("shard", "part").agg(F.sum("n").alias("rows")).select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    placed = alike.withColumn("at", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(offsets, ["shard", "part"]).withColumn("first", F.col("offset") + F.col("at"))
+    pieces = placed.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(SLOT_GROUP).cast("long"))))
+    numbered = pieces.repartition("shard", "part", "k", "lo").withColumn(
+        "slot", F.explode(F.sequence(F.col("first") + F.col("lo"), F.col("first") + F.least(F.col("lo") + SLOT_GROUP, "n") - 1))
     )
+    return numbered.select(F.col("k").alias(key), "size", "text_crc32", "shard", "slot", "grown_shard")
 
 
 def shard_sizes(assigned: DataFrame) -> DataFrame:
