@@ -304,3 +304,35 @@ def test_precision_and_recall_of_what_the_method_adds(spark):
 def test_many_numbers_in_one_text(spark):
     texts = [" ".join(f"1.2.{k % 250}.{k % 199}, no{k}" for k in range(8_000))]
     assert len(found_in(spark, texts)[0]) == 8_000
+
+
+def test_equal_rows_get_slots_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_GROUP", 64)
+    docs = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("one text").alias("text"))
+    got = sharding.assign_shards(docs, 5).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.collect())
+    for s in range(5):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
+def test_digests_of_ids_against_plain_viterbi(docs, rows, vocabulary):
+    got = unigram.encoded_digests(docs, tokenizers.path("piece_bpe_32k.model")).collect()
+    expected = []
+    for i, t in rows:
+        ids = viterbi(vocabulary, t or "")
+        expected.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == sorted(expected, key=str)
+
+
+def test_vectors_of_doubles_and_repeated_ids(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), rng.normal(size=5).tolist()) for i in rng.integers(0, 40, 90)]
+    least = {}
+    for i, v in rows:
+        least[i] = min(v, least.get(i, v))
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 4 == 0, k=3).collect()
+    expected = set()
+    for q in (i for i in least if i % 4 == 0):
+        scored = sorted((-float((np.array(least[q]) * np.array(v)).sum()), c) for c, v in least.items() if c != q)[:3]
+        expected |= {(q, rank, c) for rank, (_, c) in enumerate(scored, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got} == expected
