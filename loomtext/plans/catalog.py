@@ -200,6 +200,19 @@ def n1_full_report(spark, sf_dir):
     return report.select("total", "passed", "rejected", "words", *rounded, "min_confidence", "max_confidence", F.array_join("top_rejected", ",").alias("top_rejected"))
 
 
+@query(rf"""
+SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN 'no_content' WHEN {TOKENS.format("text")} < 20 THEN 'too_short'
+       WHEN coalesce(list_sum([length(x) for x in regexp_extract_all(text, '<[^>]+>')]), 0) / length(text) > 0.1 THEN 'html_residual' WHEN lang IS DISTINCT FROM 'en' THEN 'not_target' ELSE 'passed' END AS reason FROM documents""")
+def n1_language_validate(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", filters.validation(F.col("text"), language=F.col("lang") == "en")["reason"].alias("reason"))
+
+
+@query("SELECT doc_id, coalesce(nullif(lang, 'de') = 'en', false) AS passed FROM documents")
+def split_by_test(spark, sf_dir):
+    passed, failed = filters.split_by(table(spark, sf_dir, "documents"), F.nullif("lang", F.lit("de")) == "en")
+    return passed.select("doc_id", F.lit(True).alias("passed")).unionByName(failed.select("doc_id", F.lit(False).alias("passed")))
+
+
 @query("SELECT page_id, coalesce(list_sum([length(x) for x in regexp_extract_all(html, '<[^>]+>')]), 0) / length(html) > 0.1 AS residual FROM pages")
 def html_residual(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", (tx.html_share(F.col("html")) > 0.1).alias("residual"))
@@ -279,12 +292,37 @@ def spoken_sentences(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(tx.spoken_sentences(F.col("text"))).alias("text"))
 
 
-@query()
+#: Consecutive copies of up to six words, found word by word: each step takes the longest pattern that repeats at its place.
+_COLLAPSED = r"""
+WITH RECURSIVE w AS (SELECT conv_id, turn, regexp_extract_all(coalesce(text, ''), '[^\s]+') AS w FROM conversations),
+s AS (SELECT conv_id, turn, 0 AS b, 0 AS k, 1 AS i FROM w UNION ALL
+      SELECT conv_id, turn, i, coalesce(n, 1), i + coalesce(n * list_min([j for j in range(1, CASE WHEN n IS NULL THEN 1 ELSE len(w) // n + 2 END) if w[i + j * n:i + j * n + n - 1] <> w[i:i + n - 1]]), 1)
+      FROM (SELECT conv_id, turn, w, i, CAST(list_max([x for x in range(1, 7) if i + 2 * x - 1 <= len(w) AND w[i:i + x - 1] = w[i + x:i + 2 * x - 1]]) AS INTEGER) AS n FROM s JOIN w USING (conv_id, turn) WHERE i <= len(w))),
+o AS (SELECT conv_id, turn, coalesce(string_agg(array_to_string(w[b:b + k - 1], ' '), ' ' ORDER BY b) FILTER (k > 0), '') AS text FROM s JOIN w USING (conv_id, turn) GROUP BY ALL)
+"""
+#: Sentences of the transcripts with their places: pieces of a text, then chunks of a piece.
+_CLEANED = _COLLAPSED + r""",
+p AS (SELECT conv_id || '-' || turn AS video, generate_subscripts(x, 1) AS p, regexp_extract_all(unnest(x), '[^\s]+') AS w FROM (SELECT *, string_split_regex(text, '[.!?]') AS x FROM o)),
+k AS (SELECT *, CASE WHEN len(w) <= 18 THEN 1 ELSE greatest(1, len(w) // 18 + CASE WHEN len(w) % 18 >= 3 THEN 1 ELSE 0 END) END AS k FROM p WHERE len(w) >= 3),
+c AS (SELECT video, p, j, array_to_string(w[j * 18 + 1:CASE WHEN j < k - 1 THEN j * 18 + 18 ELSE len(w) END], ' ') AS text FROM (SELECT *, unnest(range(0, k)) AS j FROM k)),
+v AS (SELECT *, lower(text) AS key, len(string_split(text, ' ')) AS n FROM c WHERE len([x for x in string_split(text, ' ') if length(regexp_replace(x, '[^\p{L}\p{N}_]', '', 'g')) >= 2]) >= 3)
+"""
+#: Runs of equal words in the rows (id, w, i) of u: three or more become one.
+_RUNS = """
+v AS (SELECT *, i - row_number() OVER (PARTITION BY id, w ORDER BY i) AS g FROM u),
+q AS (SELECT id, w, min(i) AS i, count(*) AS n FROM v GROUP BY id, w, g),
+z AS (SELECT id, string_agg(CASE WHEN n = 2 THEN w || ' ' || w ELSE w END, ' ' ORDER BY i) AS cleaned FROM q GROUP BY id)
+"""
+
+
+@query(_COLLAPSED + "SELECT conv_id, turn, text FROM o")
 def collapse_repetitions(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.collapse_repetitions(F.col("text")).alias("text"))
 
 
-@query()
+@query(rf"""
+WITH t AS (SELECT conv_id, turn, conv_id || '-' || turn AS id, regexp_extract_all(text, '[^\s]+') AS x FROM conversations),
+u AS (SELECT id, unnest(x) AS w, generate_subscripts(x, 1) AS i FROM t), {_RUNS} SELECT conv_id, turn, coalesce(cleaned, '') AS text FROM t LEFT JOIN z USING (id)""")
 def dedupe_repeats(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.collapse_runs(F.col("text")).alias("text"))
 
@@ -294,12 +332,14 @@ def segment_sentences(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(tx.cut_sentences(F.col("text"))).alias("text"))
 
 
-@query()
+@query(_CLEANED + "SELECT arg_min(video, (video, p, j)) AS video, arg_min(text, (video, p, j)) AS text FROM v GROUP BY key")
 def transcript_clean(spark, sf_dir):
     return segment.transcript_sentences(table(spark, sf_dir, "conversations").withColumn("video", F.concat("conv_id", F.lit("-"), "turn")), "video").select("video", "text")
 
 
-@query()
+@query(_CLEANED + """, f AS (SELECT key, count(*) AS c, min(n) AS w FROM v GROUP BY key)
+SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS before, count(*) AS final, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates, CAST(coalesce(sum(w), 0) AS BIGINT) AS words,
+       CAST(min(w) AS BIGINT) AS min_words, CAST(max(w) AS BIGINT) AS max_words FROM f""")
 def transcript_report(spark, sf_dir):
     return segment.transcript_report(table(spark, sf_dir, "conversations").withColumn("video", F.concat("conv_id", F.lit("-"), "turn")), "video")
 
@@ -309,10 +349,16 @@ def article_rows(spark, sf_dir):
     return segment.article_rows(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-@query()
+@query(rf"""
+WITH c AS (SELECT conv_id AS id, turn, regexp_extract_all(text, '[^\s]+') AS w, (turn % 10) / 10.0 AS conf FROM conversations),
+g AS (SELECT id, count(*) AS n_chunks, list(w ORDER BY turn) FILTER (conf >= 0.5) AS l, round(avg(conf), 9) AS avg_confidence, count(*) FILTER (conf < 0.5) AS low_confidence FROM c GROUP BY id),
+m AS (SELECT *, CASE WHEN l IS NULL THEN [] ELSE list_reduce(l, lambda a, x: list_concat(a, x[1 + list_max([k for k in range(0, 1 + least(5, len(a), len(x))) if k = 0 OR a[len(a) - k + 1:] = x[:k]]):])) END AS r FROM g),
+u AS (SELECT id, unnest(r) AS w, generate_subscripts(r, 1) AS i FROM m), {_RUNS}
+SELECT id AS conv_id, n_chunks, array_to_string(r, ' ') AS raw, coalesce(cleaned, '') AS cleaned, avg_confidence, low_confidence,
+       array_to_string({TEXTS.format("string_split_regex(coalesce(cleaned, ''), '[.!?]|" + chr(92) * 2 + "n')")}, '|') AS sentences FROM m LEFT JOIN z USING (id)""")
 def asr_documents(spark, sf_dir):
     chunks = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("chunk_id"), "text", (F.pmod(F.col("turn"), F.lit(10)) / 10.0).alias("confidence"))
-    return flat(segment.asr_documents(chunks, "conv_id"))
+    return flat(segment.asr_documents(chunks, "conv_id")).withColumn("avg_confidence", F.round("avg_confidence", 9))
 
 
 @query()
@@ -377,7 +423,11 @@ def page_meta(spark, sf_dir):
     return html.page_meta(table(spark, sf_dir, "pages"), "html", "url", "page_id")
 
 
-@query()
+@query(rf"""
+WITH p AS (SELECT page_id, html, [x for x in [array_to_string({TEXTS.format("string_split_regex(q, '<[^>]*>')")}, ' ') for q in {_INNER}] if length(x) > 10] AS p FROM pages),
+     c AS (SELECT page_id, array_to_string(p, chr(10) || chr(10)) AS content, regexp_extract_all(html, '<iframe[^>]*?\ssrc=["'']([^"'']*)["'']', 1) AS f FROM p)
+SELECT page_id, content, CAST({TOKENS.format("content")} AS BIGINT) AS word_count, CASE WHEN content = '' THEN 'failed' ELSE 'success' END AS status, CASE WHEN content = '' THEN 'no paragraphs' END AS error,
+       len([u for u in f if (contains(u, 'youtube.com') OR contains(u, 'youtu.be')) AND (contains(u, '/embed/') OR contains(u, 'watch?v=') OR contains(u, 'youtu.be/'))]) > 0 AS has_video FROM c""")
 def page_articles(spark, sf_dir):
     rows = html.articles(table(spark, sf_dir, "pages"), "html", "page_id")
     return rows.select("page_id", "content", "word_count", "has_video", "status", "error")
@@ -390,6 +440,36 @@ def video_ids(spark, sf_dir):
     return rows.select("id", tx.video_id(F.col("url")).alias("video_id"), tx.watch_url(tx.video_id(F.col("url"))).alias("watch_url"))
 
 
+def _watched(spark, sf_dir):
+    """events as articles: a user's clicks and views show a video each, what they buy shows two, other events none."""
+    video = lambda k: F.struct(F.concat(F.lit(k), F.col("event_id").cast("string")).alias("video_id"), tx.watch_url(F.concat(F.lit(k), F.col("event_id").cast("string"))).alias("watch_url"))
+    shown = F.when(F.col("event_type").isin("click", "view"), F.array(video("a"))).when(F.col("event_type") == "purchase", F.array(video("a"), video("b")))
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.coalesce(shown, F.array().cast("array<struct<video_id:string,watch_url:string>>")).alias("videos"))
+
+
+@query("SELECT user_id, max(event_id) AS event_id FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY user_id")
+def articles_with_videos(spark, sf_dir):
+    return html.articles_with_videos(_watched(spark, sf_dir), "user_id", "event_id").select("user_id", "event_id")
+
+
+@query("""
+SELECT event_id AS article_id, event_type AS article_title, k || event_id AS video_id, 'https://www.youtube.com/watch?v=' || k || event_id AS watch_url
+FROM (SELECT *, unnest(CASE WHEN event_type = 'purchase' THEN ['a', 'b'] ELSE ['a'] END) AS k FROM events WHERE event_type IN ('click', 'view', 'purchase'))""")
+def video_list(spark, sf_dir):
+    return html.video_list(_watched(spark, sf_dir), "event_id", "event_type")
+
+
+@query("SELECT page_id, replace(url, '/', '__') AS name FROM pages")
+def safe_names(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", tx.safe_name(F.col("url")).alias("name"))
+
+
+@query("SELECT event_id, round(abs(value) / 120, 9) AS gpu, round(abs(value) / 24, 9) AS cpu, round(abs(value) * 85 / 289, 9) AS of_size FROM events")
+def time_estimates(spark, sf_dir):
+    minutes = tx.transcription_minutes(F.abs("value"))
+    return table(spark, sf_dir, "events").select("event_id", F.round(minutes["gpu"], 9).alias("gpu"), F.round(minutes["cpu"], 9).alias("cpu"), F.round(tx.transcription_minutes_of_size(F.abs("value")), 9).alias("of_size"))
+
+
 # --- statistics --------------------------------------------------------------------------------------------------------
 
 
@@ -558,6 +638,19 @@ def gates_report(spark, sf_dir):
     return spark.createDataFrame([(r.name, r.passed) for r in report.results], "name string, passed boolean")
 
 
+@query(f"""
+WITH m AS (SELECT count(*) AS n, count(*) FILTER ({KEY} = '') AS e, count(DISTINCT {KEY}) AS k, sum(strlen(text)) AS b, 100.0 * count(*) FILTER (lang = 'en') / count(*) AS t FROM documents)
+SELECT unnest(['schema', 'min_examples', 'empty_texts', 'duplicates', 'raw_text_size', 'target_lang_pct', 'no_baseline_loss']) AS name,
+       unnest([false, n >= 1000000000000, e <= 0, round(100.0 * (n - k) / n, 4) <= 0, round(b / 1e6, 2) >= 0.1, t >= 90, false]) AS passed FROM m""")
+def gates_failing(spark, sf_dir):
+    """Sources that are no array, more examples than there are, the language share of the table itself, no baseline."""
+    docs = table(spark, sf_dir, "documents")
+    share = docs.agg((100 * F.count_if(F.col("lang") == "en") / F.count(F.lit(1))).alias("pct")).first()["pct"]
+    config = GateConfig(min_examples=10**12, max_duplicate_pct=0.0, min_text_mb=0.1, min_target_pct=90.0, fail_closed=True)
+    report = run_gates(docs.select("text", F.col("source").alias("sources")), config, {"lid": {"target_pct": share}})
+    return spark.createDataFrame([(r.name, r.passed) for r in report.results], "name string, passed boolean")
+
+
 @query("""
 WITH d AS (SELECT doc_id, md5('42:' || doc_id) AS d FROM documents), r AS (SELECT doc_id, row_number() OVER (ORDER BY d, doc_id) AS n FROM d)
 SELECT doc_id, CASE WHEN n <= 150 THEN 'train' ELSE 'test' END AS split FROM r""")
@@ -565,6 +658,8 @@ def train_test_split(spark, sf_dir):
     return setops.train_test(table(spark, sf_dir, "documents"), "doc_id", 150).select("doc_id", "split")
 
 
-@query()
+@query("""
+SELECT coalesce(a.column_name, b.column_name) AS name, CASE WHEN b.column_name IS NULL THEN 'one' WHEN a.column_name IS NULL THEN 'two' ELSE 'both' END AS side, coalesce(a.column_type = b.column_type, false) AS same_type
+FROM (DESCRIBE documents) a FULL JOIN (DESCRIBE labels) b ON a.column_name = b.column_name""")
 def schema_compare(spark, sf_dir):
-    return setops.compare_schemas(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return setops.compare_schemas(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("column", "name")
